@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding
+from . import mixing, secret_scan, sharding
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +17,18 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_documents(spark, sf_dir), 24)
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_documents(_documents(spark, sf_dir))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op5_secret_scan": op5_secret_scan,
+    "op6_mixing": op6_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
