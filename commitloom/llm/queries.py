@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, secret_scan, sharding
+from . import bpe_codec, mixing, secret_scan, sharding, token_count
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,10 +26,21 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(_documents(spark, sf_dir))
 
 
+def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe_codec.digests(bpe_codec.encode_documents(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op5_secret_scan": op5_secret_scan,
     "op6_mixing": op6_mixing,
+    "op8_token_count": op8_token_count,
+    "op9_bpe_codec": op9_bpe_codec,
 }
 
 ORACLE_SQL: dict[str, str] = {}
