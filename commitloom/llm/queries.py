@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, mixing, secret_scan, sharding, token_count
+from . import bpe_codec, mixing, secret_scan, sharding, token_count, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,12 +35,17 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(bpe_codec.encode_documents(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op5_secret_scan": op5_secret_scan,
     "op6_mixing": op6_mixing,
     "op8_token_count": op8_token_count,
     "op9_bpe_codec": op9_bpe_codec,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
