@@ -7,7 +7,8 @@ chunk takes over. Only boundaries behind a non-space character count, since ther
 can't reach across. If a chunk never resynchronises, the rest of that text is encoded as one piece. Pieces are then encoded,
 and their ids and bytes concatenated in order; decoding concatenates the raw bytes of the ids.
 
-The chunk table is written to the shared folder, so that rows keep their key if an executor is lost.
+The chunk table is written to the shared folder in small row groups: rows keep their key if an executor is lost, and any
+task can read a part of a text, so the cut itself needs no shuffle.
 
 Defined cases: null text counts as empty (no ids, no bytes); repeated rows each get their ids; ids of any type and null ids
 pass through; empty input gives empty output; other columns are ignored.
@@ -76,7 +77,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, chunk: int
 
     keyed = rows.where(long).select(F.monotonically_increasing_id().alias("key"), "doc_id", "text")
     parts = keyed.mapInArrow(cut, f"key long, doc_id {kind}, part int, parts int, text string")
-    parts = shared.materialise(parts.repartition("key", "part"), "bpe-chunks")
+    parts = shared.materialise(parts, "bpe-chunks", block_mb=4)
 
     def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -113,11 +114,11 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, chunk: int
                 at = texts[0]["part"] * chunk
                 text = "".join([*(t["text"][:chunk] for t in texts[:-1]), texts[-1]["text"]])
                 done.append(_coded(codec, text[since - at : None if until is None else until - at]))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), batch.column("piece"), *(pa.array([d[k].hex() for d in done], pa.string()) for k in (0, 1))], ["key", "doc_id", "piece", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), batch.column("piece"), *(pa.array([d[k] for d in done], pa.binary()) for k in (0, 1))], ["key", "doc_id", "piece", "ids", "decoded"])
 
-    encoded = pieces.mapInArrow(coded, f"key long, doc_id {kind}, piece int, ids string, decoded string")
+    encoded = pieces.mapInArrow(coded, f"key long, doc_id {kind}, piece int, ids binary, decoded binary")
     ordered = encoded.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("piece", "ids", "decoded"))).alias("all"))
-    joined = [F.unhex(F.array_join(F.col(f"all.{c}"), "")).alias(c) for c in ("ids", "decoded")]
+    joined = [F.unhex(F.array_join(F.transform("all", lambda x: F.hex(x[name])), "")).alias(name) for name in ("ids", "decoded")]
     return short.unionByName(ordered.select("doc_id", *joined))
 
 

@@ -25,10 +25,10 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/commitloom/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, block_mb: int = 128) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there and a lost executor costs no recomputation."""
     spark, path = df.sparkSession, new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", block_mb << 20).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -47,3 +47,35 @@ def free_name(df: DataFrame, stem: str) -> str:
     while stem.lower() in taken:
         stem = "_" + stem
     return stem
+
+
+def groups(batches, keys: list[str]):
+    """(key, pyarrow table) of every run of equal keys; rows must come sorted by them. One group is held at a time."""
+    import pyarrow as pa
+
+    held, current = [], None
+    for batch in batches:
+        rows = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+        start = 0
+        for at in range(1, len(rows) + 1):
+            if at < len(rows) and rows[at] == rows[start]:
+                continue
+            if held and rows[start] != current:
+                yield current, pa.Table.from_batches(held).combine_chunks()
+                held = []
+            current = rows[start]
+            held.append(batch.slice(start, at - start))
+            start = at
+    if held:
+        yield current, pa.Table.from_batches(held).combine_chunks()
+
+
+def matrix(column):
+    """A list column whose lists are equally long, as float64 rows."""
+    import numpy as np
+    import pyarrow as pa
+
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), -1)
