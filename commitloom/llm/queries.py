@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, embedding_neardup, mixing, ngram_join, secret_scan, sharding, token_count, toxicity
+from . import bpe_codec, embedding_neardup, line_dedup, mixing, ngram_join, secret_scan, sharding, token_count, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_neardup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeats(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(_documents(spark, sf_dir), n=3, percent=90)
 
@@ -50,6 +54,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_embedding_neardup": op2_embedding_neardup,
+    "op3_line_dedup": op3_line_dedup,
     "op4_ngram_join": op4_ngram_join,
     "op5_secret_scan": op5_secret_scan,
     "op6_mixing": op6_mixing,
