@@ -8,6 +8,7 @@ from itertools import accumulate
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .. import config
 
@@ -87,7 +88,7 @@ def region(code: str | None, diff: str | None, limit: int) -> str:
     return (cut[:at] if at > limit * 0.9 else cut) + config.TRUNCATED_INPUT
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())  # a type by name would need a session, which workers lack
 def changed_region(code: pd.Series, diff: pd.Series, limit: pd.Series) -> pd.Series:
     return pd.Series([region(c, d, int(n)) for c, d, n in zip(code, diff, limit, strict=True)], dtype=object)
 
