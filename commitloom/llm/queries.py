@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, embedding_neardup, line_dedup, mixing, ngram_join, secret_scan, sharding, token_count, toxicity
+from . import bpe_codec, embedding_neardup, line_dedup, media_copies, mixing, ngram_join, secret_scan, sharding, token_count, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(_documents(spark, sf_dir))
 
 
+def op7_media_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_copies.copies(media_copies.drawn(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
 def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_join": op4_ngram_join,
     "op5_secret_scan": op5_secret_scan,
     "op6_mixing": op6_mixing,
+    "op7_media_copies": op7_media_copies,
     "op8_token_count": op8_token_count,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_toxicity": op10_toxicity,
