@@ -1,0 +1,208 @@
+"""The corpus operators against brute force on small tables, and on tables of odd rows."""
+
+import hashlib
+import re
+import struct
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from commitloom.llm import bpe_codec, embedding_neardup, line_dedup, media_copies, mixing, ngram_join, queries, secret_scan, sharding, token_count, toxicity
+
+DATA = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{DATA}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text or "" for r in docs.collect()}
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Null and empty texts, null source, repeats of rows, a long text."""
+    long = " ".join(f"word{i % 977}" for i in range(30_000))
+    rows = [(1, None, "en", "a", None), (2, "", "en", "a", 0), (3, "one two three four five six", None, None, 27), (4, "one two three four five six", "en", "b", 27), (4, "one two three four five six", "en", "b", 27), (5, long, "en", "b", 1), (6, long, "en", "c", 1), (7, " \t\n", "en", "c", 3)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_sharding_places_every_row(docs, texts):
+    got = sharding.shard_documents(docs, 24).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    by = {}
+    for r in got:
+        assert r.size == len(texts[r.doc_id].encode()) + 8
+        assert r.text_crc32 == zlib.crc32(texts[r.doc_id].encode())
+        by.setdefault(r.shard, []).append(r)
+    assert set(by) <= set(range(24))
+    for rows in by.values():
+        assert sorted(r.slot for r in rows) == list(range(len(rows)))
+
+
+def components(n, linked):
+    parent = {k: k for k in n}
+
+    def top(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for a, b in linked:
+        a, b = sorted((top(a), top(b)))
+        parent[b] = a
+    return {k: top(k) for k in n}
+
+
+def test_embeddings_against_all_pairs(spark):
+    table = spark.read.parquet(f"{DATA}/embeddings.parquet")
+    rows = table.collect()
+    ok = [r for r in rows if r.label is not None and r.embedding and all(x is not None and np.isfinite(x) for x in r.embedding) and any(r.embedding)]
+    v = {r.vec_id: np.array(r.embedding, float) / np.linalg.norm(np.array(r.embedding, float)) for r in ok}
+    links = [(a.vec_id, b.vec_id) for i, a in enumerate(ok) for b in ok[:i] if a.label == b.label and len(a.embedding) == len(b.embedding) and v[a.vec_id] @ v[b.vec_id] >= 0.93]
+    want, n = components([r.vec_id for r in rows], links), {}
+    for a, b in links:
+        n[a], n[b] = n.get(a, 0) + 1, n.get(b, 0) + 1
+    for r in embedding_neardup.near_duplicates(table).collect():
+        assert (r.component_id, r.n_links, r.kept) == (want[r.vec_id], n.get(r.vec_id, 0), want[r.vec_id] == r.vec_id)
+
+
+def test_ngrams_against_all_pairs(docs, texts):
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+
+    def shingles(t):
+        w = word.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        return {tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) >= 3 else {tuple(w)} if w else set()
+
+    sets = {k: shingles(t) for k, t in texts.items()}
+    ids = sorted(k for k in sets if sets[k])
+    links = [(a, b) for i, a in enumerate(ids) for b in ids[:i] if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
+    want = components(texts, links)
+    for r in ngram_join.similar_groups(docs, n=3, percent=90).collect():
+        assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), want[r.doc_id])
+
+
+KINDS = {
+    "assign": (re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 8),
+    "access": (re.compile("AKIA[A-Z0-9]+"), 0, 16),
+    "hex": (re.compile("[0-9a-f]+"), 0, 32),
+}
+
+
+def test_secrets_against_regex(docs, texts):
+    for r in secret_scan.scan_documents(docs).collect():
+        spans, n = [], {}
+        for rank, (kind, (pattern, group, least)) in enumerate(KINDS.items()):
+            hits = [m for m in pattern.finditer(texts[r.doc_id]) if len(m[group]) >= least]
+            n[kind] = len(hits)
+            spans += [(m.start(), rank, f"{kind}:{m.start()}:{m.end()}") for m in hits]
+        joined = ",".join(s[2] for s in sorted(spans))
+        assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == (n["assign"], n["access"], n["hex"], hashlib.sha256(joined.encode()).hexdigest())
+        assert set(filter(None, joined.split(","))) <= set(r.spans.split(","))
+
+
+def test_mixing_comes_near_targets_and_repeats(docs):
+    got = mixing.mix_documents(docs).collect()
+    assert {(r.doc_id, r.taken) for r in got} == {(r.doc_id, r.taken) for r in mixing.mix_documents(docs).collect()}
+    assert all(r.taken <= 3 * r.size for r in got)
+    total = sum(r.size for r in got)
+    goals = {(r.source_size, r.target): 0 for r in got}
+    for r in got:
+        goals[r.source_size, r.target] += r.taken
+    largest = max(r.size for r in got)
+    assert all(t <= 3 * s + 1e-6 and abs(n - t) <= 2 * largest for (s, t), n in goals.items())
+    assert abs(sum(t for _, t in goals) - total) < 1e-3 * total + 1
+
+
+def test_media_copies_finds_crops_and_edits(spark):
+    pages = spark.range(60).withColumnRenamed("id", "page_id")
+    for r in media_copies.copies(media_copies.drawn(pages)).collect():
+        assert r.component_id == r.image_id // 3 * 3
+    schema = "image_id long, width int, height int, pixels binary, u string"
+    flat = spark.createDataFrame([(1, 4, 4, bytes(16), "x"), (2, 4, 4, bytes(16), "y"), (3, None, None, None, "z"), (4, 9, 9, b"12", "z"), (4, 9, 9, b"12", "z")], schema)
+    assert sorted((r.image_id, r.component_id, r.n_corners) for r in media_copies.copies(flat).collect()) == [(1, 1, 0), (2, 1, 0), (3, 3, 0), (4, 4, 0)]
+    assert media_copies.copies(flat.where("false")).count() == 0
+
+
+def test_token_counts_against_library(docs, texts):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    for r in token_count.count_tokens(docs, path, public_tokenizers.PATTERN).collect():
+        n = len(library.encode(texts[r.doc_id], add_special_tokens=False).ids)
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(texts[r.doc_id].encode()), n, n > 512)
+
+
+@pytest.mark.parametrize("chunk", [None, 300])
+def test_bpe_against_library(docs, texts, chunk):
+    import base64
+
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    sizes = {} if chunk is None else {"chunk": chunk, "overlap": 64}
+    for r in bpe_codec.encode_documents(docs, path, public_tokenizers.PATTERN, **sizes).collect():
+        ids = library.encode_ordinary(texts[r.doc_id])
+        assert bytes(r.ids) == struct.pack(f"<{len(ids)}I", *ids)
+        assert bytes(r.decoded) == texts[r.doc_id].encode()
+
+
+def test_toxicity_on_the_held_out_fold(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = queries.op10_toxicity(spark, sf).collect()
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got)
+    judged = [(r.predicted, labels[r.doc_id]) for r in got if r.held_out and labels.get(r.doc_id) is not None]
+    assert sum(p == t for p, t in judged) / len(judged) >= 0.9
+
+
+def test_line_dedup_deletes_only_later_runs(spark):
+    def lines(tag, n=12):
+        return "\n".join(f"{tag} line {i} with a few more words in it" for i in range(n))
+
+    shared = lines("common")
+    rows = [(1, lines("a") + "\n" + shared), (2, shared + "\n" + lines("b")), (3, lines("c")), (4, None), (5, ""), (6, "short\nshort\nshort")]
+    got = {r.doc_id: r.text for r in line_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == rows[0][1]
+    assert "common" not in got[2] and lines("b") in got[2]
+    assert [got[k] for k in (3, 4, 5, 6)] == [rows[2][1], None, "", "short\nshort\nshort"]
+
+
+FORMS = {
+    "sharding": lambda d: sharding.shard_documents(d, 24),
+    "line dedup": line_dedup.without_repeats,
+    "n-grams": lambda d: ngram_join.similar_groups(d, n=5, percent=80),
+    "secrets": secret_scan.scan_documents,
+    "mixing": mixing.mix_documents,
+    "tokens": lambda d: token_count.count_tokens(d, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN),
+    "codec": lambda d: bpe_codec.encode_documents(d, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN),
+    "toxicity": lambda d: toxicity.score_documents(d, d.sparkSession.read.parquet(f"{DATA}/labels.parquet")),
+}
+
+
+@pytest.mark.parametrize("name", FORMS)
+def test_odd_and_empty_tables(odd, name):
+    assert FORMS[name](odd.withColumnsRenamed({"lang": "size", "n_chars": "hash"})).count() == odd.count()
+    if name != "toxicity":
+        assert FORMS[name](odd.where("false")).count() == 0
+
+
+def test_pipeline_keeps_columns_and_clean_documents(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, DATA)
+        assert out.columns == docs.columns
+        docs = out
+    assert docs.count() > 0
