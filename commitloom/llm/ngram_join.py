@@ -12,8 +12,8 @@ signature (each with the smallest, never pairwise) span coarse components: near
 *Joining.* The sets of a coarse component are ordered by their n-grams' frequency there, most frequent first, and stored in a
 path-compressed trie. A set's traversal carries the overlap so far down shared paths, and leaves a subtree as soon as the
 overlap plus what remains of either side can't reach the bound, or when all its sets are in the same component already. Large
-coarse components are cut into blocks that meet two at a time, so a task's memory is bounded; their links are joined by
-connected components.
+coarse components are cut into blocks, so a task's memory is bounded; what no block has brought together meets in further
+blocks, and all links are joined by connected components.
 
 Defined cases: null text, and text without words, has an empty set and links with nothing; fewer words than n make one n-gram;
 equal texts, repeated rows and ties are one class, whose component is its smallest id; rows with a null id have a null
@@ -240,44 +240,50 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return rows.mapInArrow(made, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles long, h1 long, h2 long, marks array<long>")
 
 
-def _joined(blocks: DataFrame, percent: int) -> DataFrame:
-    """u, v: links that span the components of every block (group, i, j); rows (node, part, tokens) of a block come together."""
+def _joined(docs: DataFrame, blocks: DataFrame, n: int, percent: int) -> DataFrame:
+    """u, v: links that span the components of every block (group, i, j) of blocks (node, h1, side).
+
+    Sets of side 0 are joined with each other if a block has no others, else with those of side 1. Texts are shuffled, not sets:
+    they are shorter and compress, and a task holds the sets of one block at a time.
+    """
     node = blocks.schema["node"].dataType.simpleString()
-    kind = None
+    rows = docs.select(F.col("doc_id").alias("node"), F.col("text").cast("string").alias("text")).join(blocks.hint("shuffle_hash"), "node")
+    rows = rows.select("node", "h1", "side", "group", "i", "j", "text")
 
     def done(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(n)
         with np.errstate(over="ignore"):
-            held, key, us, vs = [], None, [], []
+            held, key, us, vs, kind = [], None, [], [], None
             for batch in batches:
-                names = batch.column("node")
-                tokens, groups = batch.column("tokens"), list(zip(*(batch.column(c).to_pylist() for c in ("group", "i", "j")), strict=True))
-                parts, ids = batch.column("part").to_pylist(), names.to_pylist()
-                for row, (group, part, name) in enumerate(zip(groups, parts, ids, strict=True)):
+                kind = batch.column("node").type
+                groups = list(zip(*(batch.column(c).to_pylist() for c in ("group", "i", "j")), strict=True))
+                sides, ids, sums = (batch.column(c).to_pylist() for c in ("side", "node", "h1"))
+                for group, side, name, h, text in zip(groups, sides, ids, sums, batch.column("text"), strict=True):
                     if group != key:
-                        _links(held, key, percent, us, vs)
+                        _links(held, percent, us, vs)
                         held, key = [], group
-                    held.append((part, name, tokens[row].values.to_numpy(zero_copy_only=False).view(np.uint64)))
+                    tokens = shingler.shingles(text.as_py())
+                    if len(tokens) and int(_mixed(tokens, 1).sum().view(np.int64)) == h:  # else another text of the same id
+                        held.append((side, name, tokens))
                 if us:
-                    yield pa.RecordBatch.from_arrays([pa.array(us, names.type), pa.array(vs, names.type)], ["u", "v"])
+                    yield pa.RecordBatch.from_arrays([pa.array(us, kind), pa.array(vs, kind)], ["u", "v"])
                     us, vs = [], []
-                kind = names.type
-            _links(held, key, percent, us, vs)
+            _links(held, percent, us, vs)
             if us:
                 yield pa.RecordBatch.from_arrays([pa.array(us, kind), pa.array(vs, kind)], ["u", "v"])
 
-    return blocks.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j").mapInArrow(done, f"u {node}, v {node}")
+    return rows.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j").mapInArrow(done, f"u {node}, v {node}")
 
 
-def _links(held: list, key, percent: int, us: list, vs: list) -> None:
+def _links(held: list, percent: int, us: list, vs: list) -> None:
     if len(held) < 2:
         return
     held.sort(key=lambda h: h[0])
-    _, i, j = key
-    first = None if i == j else sum(h[0] == i for h in held)
-    if first in (0, len(held)):
+    first = sum(h[0] == 0 for h in held)
+    if not first:
         return
-    for k, root in enumerate(TrieJoin([h[2] for h in held], percent).join(first)):
-        if root != k:
+    for k, root in enumerate(TrieJoin([h[2] for h in held], percent).join(None if first == len(held) else first)):
+        if root != k and held[k][1] != held[root][1]:
             us.append(held[k][1])
             vs.append(held[root][1])
 
@@ -298,29 +304,46 @@ def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return sets.drop("marks").join(named, at, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _parts() -> F.Column:
+    return F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_TOKENS)).cast("int")
+
+
+def _part(parts: F.Column) -> F.Column:
+    return F.pmod(F.xxhash64("node"), parts).cast("int")
+
+
+def _blocks(sized: DataFrame) -> DataFrame:
+    """Each set in one block of its group."""
+    rows = sized.join(sized.groupBy("group").agg(_parts().alias("parts")), "group")
+    return rows.withColumn("side", F.lit(0)).withColumn("i", _part(F.col("parts"))).withColumn("j", F.lit(0))
+
+
 def _labels(docs: DataFrame, classes: DataFrame, coarse: DataFrame, n: int, percent: int) -> DataFrame:
-    """node, component of the classes that link with another."""
-    sized = classes.select("node", "n_shingles", "h1").join(coarse, "node")
-    weights = sized.groupBy("component").agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("tokens"))
-    weights = weights.withColumn("parts", F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int"))
-    members = shared.materialise(sized.join(weights.select("component", "parts"), "component").select("node", "h1", "component", "parts"), "coarse")
-    texts = docs.select(F.col("doc_id").alias("node"), F.col("text").cast("string").alias("text")).join(members.hint("shuffle_hash"), "node")
-    node = members.schema["node"].dataType.simpleString()
-
-    def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(n)
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                sets = [shingler.shingles(t) for t in batch.column("text").to_pylist()]
-                own = [int(_mixed(s, 1).sum().view(np.int64)) == h if len(s) else False for s, h in zip(sets, batch.column("h1").to_pylist(), strict=True)]
-                ends = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
-                flat = pa.array(np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64), pa.int64())
-                out = pa.RecordBatch.from_arrays([batch.column("node"), batch.column("component"), batch.column("parts"), pa.ListArray.from_arrays(pa.array(ends), flat)], ["node", "group", "parts", "tokens"])
-                yield out.filter(pa.array(own, pa.bool_()))
-
-    rows = texts.select("node", "component", "parts", "h1", "text").mapInArrow(tokenised, f"node {node}, group {node}, parts int, tokens array<long>")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    blocks = rows.select("node", "group", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "tokens")
-    links = shared.materialise(_joined(blocks, percent), "shingle-links")
-    return graph.connected_components(links)
+    """node, component of the classes that link with another.
+
+    A coarse component that fits a block is joined there. A larger one is dealt to blocks, each joined by itself; then one set
+    of each component found is joined with the others'. What is still apart from the largest component meets every set of its
+    coarse component in blocks of two sides. So each set is read about once where near copies fall together, and no link is lost.
+    """
+    sized = classes.select("node", "n_shingles", "h1").join(coarse, "node").withColumnRenamed("component", "group")
+    blocks = shared.materialise(_blocks(sized), "coarse")
+    links = shared.materialise(_joined(docs, blocks, n, percent), "shingle-links")
+    large = blocks.where("parts > 1").select("node", "n_shingles", "h1", "group", "parts")
+    found = shared.materialise(graph.connected_components(links), "shingle-components")
+    if large.isEmpty():
+        return found
+    heads = large.join(found, "node", "left").where(F.coalesce("component", "node") == F.col("node")).drop("component", "parts")
+    links = links.unionByName(shared.materialise(_joined(docs, shared.materialise(_blocks(heads), "heads"), n, percent), "head-links"))
+    found = shared.materialise(graph.connected_components(links), "shingle-components")
+    large = shared.materialise(large.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "large")
+    counts = large.groupBy("group", "component").agg(F.count("*").alias("sets"))
+    most = counts.groupBy("group").agg(F.max(F.struct("sets", "component"))["component"].alias("most"))
+    apart = large.join(most, "group").where(F.col("component") != F.col("most"))
+    pieces = apart.groupBy("group").agg(_parts().alias("pieces"))
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    left = apart.join(pieces, "group").select("node", "h1", F.lit(0).alias("side"), "group", _part(F.col("pieces")).alias("i"), every("parts").alias("j"))
+    right = large.join(pieces, "group").select("node", "h1", F.lit(1).alias("side"), "group", _part(F.col("parts")).alias("j"), every("pieces").alias("i"))
+    crossed = shared.materialise(left.unionByName(right), "crossed")
+    if crossed.isEmpty():
+        return found
+    return graph.connected_components(links.unionByName(shared.materialise(_joined(docs, crossed, n, percent), "crossed-links")))
