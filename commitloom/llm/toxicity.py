@@ -16,7 +16,6 @@ null labels are no examples; other columns are kept out.
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
 from collections import Counter
@@ -33,6 +32,7 @@ from . import shared
 EXAMPLES = 16_384
 TERMS = 4096
 BLOCK = 64
+FIRST_BLOCKS = 4
 NEIGHBOURS = 15
 LEAST_DOCS = 3
 PREFIXES = (3, 4, 5, 6, 7, 8)
@@ -41,6 +41,7 @@ FALSE_TERMS = 1.0
 SMOOTHING = 1.0
 THRESHOLD = 0.7
 CACHE = 300_000
+VOTES = 50_000
 _WORD = re.compile(r"\w+")
 
 
@@ -157,57 +158,77 @@ def unit(terms, tf, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class BlockMaxIndex:
-    """Example vectors by term and block, with block maxima; exact k nearest by cosine."""
+    """Example vectors by term and block, with block maxima; exact k nearest by cosine.
+
+    Postings lie by block, then term: those of a term in a block are ``at`` and ``weight`` from ``start[slot]`` to
+    ``start[slot + 1]``, where ``slot`` is -1 for a term that the block lacks.
+    """
 
     ids: np.ndarray
     toxic: np.ndarray
-    maxima: dict[int, tuple[np.ndarray, np.ndarray]]  # term: its blocks, largest weight in each
-    postings: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]  # (term, block): place in the block, weight
+    maxima: np.ndarray  # term by block: largest weight
+    slot: np.ndarray  # block by term
+    start: np.ndarray
+    at: np.ndarray
+    weight: np.ndarray
 
     @classmethod
-    def build(cls, ids: list[int], toxic: list[int], vectors: list[tuple[np.ndarray, np.ndarray]]) -> BlockMaxIndex:
+    def build(cls, ids: list[int], toxic: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> BlockMaxIndex:
         # Examples that share their heaviest term sit in the same blocks, which keeps block maxima tight.
         order = sorted(range(len(ids)), key=lambda i: (int(vectors[i][0][vectors[i][1].argmax()]), ids[i]))
-        lists: dict[tuple[int, int], tuple[list, list]] = {}
-        for place, i in enumerate(order):
-            for term, weight in zip(*vectors[i], strict=True):
-                at, w = lists.setdefault((int(term), place // BLOCK), ([], []))
-                at.append(place % BLOCK)
-                w.append(float(weight))
-        tops: dict[int, tuple[list, list]] = {}
-        for (term, block), (_, w) in sorted(lists.items()):
-            b, m = tops.setdefault(term, ([], []))
-            b.append(block)
-            m.append(max(w))
+        blocks = -(-len(ids) // BLOCK)
+        place = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
+        term, weight = (np.concatenate([vectors[i][c] for i in order]) for c in (0, 1))
+        key = place // BLOCK * n_terms + term
+        by_key = np.argsort(key, kind="stable")
+        key, place, weight = key[by_key], place[by_key], weight[by_key]
+        known, start = np.unique(key, return_index=True)
+        slot = np.full(blocks * n_terms, -1, np.int32)
+        slot[known] = np.arange(len(known))
+        maxima = np.zeros(blocks * n_terms)
+        maxima[known] = np.maximum.reduceat(weight, start)
         return cls(
             np.asarray([ids[i] for i in order]),
             np.asarray([toxic[i] for i in order], np.float64),
-            {t: (np.asarray(b), np.asarray(m)) for t, (b, m) in tops.items()},
-            {k: (np.asarray(at), np.asarray(w)) for k, (at, w) in lists.items()},
+            np.ascontiguousarray(maxima.reshape(blocks, n_terms).T),
+            slot.reshape(blocks, n_terms),
+            np.append(start, len(key)),
+            place % BLOCK,
+            weight,
         )
 
+    def scores(self, blocks: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Cosines with the examples of some blocks: a row for each block."""
+        slots = self.slot[blocks[:, None], terms]
+        row, column = np.nonzero(slots >= 0)
+        found = slots[row, column]
+        first, n = self.start[found], self.start[found + 1] - self.start[found]
+        posting = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        products = self.weight[posting] * np.repeat(weights[column], n)
+        return np.bincount(np.repeat(row * BLOCK, n) + self.at[posting], products, len(blocks) * BLOCK).reshape(len(blocks), BLOCK)
+
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
-        """(cosine, place) of the k nearest examples with a cosine over 0, best first."""
-        bounds = np.zeros(-(-len(self.ids) // BLOCK))
-        for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-            if t in self.maxima:
-                at, top = self.maxima[t]
-                bounds[at] += w * top
-        best: list[tuple[float, int]] = []  # (cosine, -place)
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or len(best) == k and bounds[block] * (1 + 1e-12) < best[0][0]:
-                break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                if (posting := self.postings.get((t, block))) is not None:
-                    scores[posting[0]] += w * posting[1]
-            for place in np.flatnonzero(scores).tolist():
-                entry = (float(scores[place]), -(block * BLOCK + place))
-                if len(best) < k:
-                    heapq.heappush(best, entry)
-                elif entry > best[0]:
-                    heapq.heapreplace(best, entry)
-        return [(c, -p) for c, p in sorted(best, reverse=True)]
+        """(cosine, place) of the k nearest examples with a cosine over 0, best first.
+
+        Blocks are visited by falling bound, ever more at a time, until no bound reaches the k-th best cosine.
+        """
+        bounds = weights @ self.maxima[terms]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        cosines, places, visited, step = np.zeros(0), np.zeros(0, np.int64), 0, FIRST_BLOCKS
+        while visited < len(order):
+            blocks = order[visited : visited + step]
+            if len(cosines) == k:
+                blocks = blocks[bounds[blocks] * (1 + 1e-12) >= cosines[-1]]
+                if not len(blocks):
+                    break
+            scores = self.scores(blocks, terms, weights)
+            row, at = np.nonzero(scores >= cosines[-1] if len(cosines) == k else scores)
+            cosines, places = np.concatenate((cosines, scores[row, at])), np.concatenate((places, blocks[row] * BLOCK + at))
+            best = np.lexsort((places, -cosines))[:k]
+            cosines, places = cosines[best], places[best]
+            visited, step = visited + step, 4 * step
+        return list(zip(cosines.tolist(), places.tolist(), strict=True))
 
 
 @dataclass
@@ -218,6 +239,18 @@ class Model:
     base: float
     blank: float
 
+    def vote_cached(self, terms, tf, known: dict) -> tuple[float, list[tuple[int, float]]]:
+        """As vote(); texts with equal terms, such as copies, are looked up in `known`, which holds VOTES entries at most."""
+        key = (*terms, *tf)
+        done = known.get(key)
+        if done is None:
+            done = self.vote(terms, tf)
+            if len(key) <= 128:
+                if len(known) >= VOTES:
+                    known.clear()
+                known[key] = done
+        return done
+
     def vote(self, terms, tf) -> tuple[float, list[tuple[int, float]]]:
         """Score and the nearest examples."""
         if self.index is None or not len(terms):
@@ -244,7 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES) -> tuple[Mode
     base = sum(v[1] for v in rates.values()) / every if every else 0.0
     blank = (rates[False][1] + base) / (rates[False][0] + 1) if False in rates else base
     rows = shown.where(F.size("terms") > 0).orderBy("doc_id").collect()  # `bound` rows at most
-    index = BlockMaxIndex.build([r["doc_id"] for r in rows], [r["toxic"] for r in rows], [unit(r["terms"], r["tf"], idf) for r in rows]) if rows else None
+    index = BlockMaxIndex.build([r["doc_id"] for r in rows], [r["toxic"] for r in rows], [unit(r["terms"], r["tf"], idf) for r in rows], len(terms)) if rows else None
     return Model(terms, idf, index, base, blank), found
 
 
@@ -253,9 +286,9 @@ def score(found: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
     sent = found.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
+        m, known = sent.value, {}
         for batch in batches:
-            done = [m.vote(t, tf) for t, tf in zip(batch.column("terms").to_pylist(), batch.column("tf").to_pylist(), strict=True)]
+            done = [m.vote_cached(t, tf, known) for t, tf in zip(batch.column("terms").to_pylist(), batch.column("tf").to_pylist(), strict=True)]
             evidence = [",".join(f"{i}:{c:.4f}" for i, c in d[1]) for d in done]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([d[0] for d in done], pa.float64()), pa.array(evidence, pa.string())], ["doc_id", "score", "evidence"])
 

@@ -166,6 +166,25 @@ def test_toxicity_on_the_held_out_fold(spark):
     assert sum(p == t for p, t in judged) / len(judged) >= 0.9
 
 
+def test_block_max_index_against_all_examples():
+    random = np.random.default_rng(5)
+    vectors = []
+    for _ in range(700):
+        terms = np.sort(random.choice(90, random.integers(1, 12), replace=False))
+        w = random.integers(1, 4, len(terms)).astype(float)
+        vectors.append((terms, w / np.sqrt((w * w).sum())))
+    vectors += vectors[:40]
+    index = toxicity.BlockMaxIndex.build(list(range(len(vectors))), [0] * len(vectors), vectors, 90)
+    whole = np.zeros((len(vectors), 90))
+    for i, (terms, w) in enumerate(vectors):
+        whole[i, terms] = w
+    for terms, w in vectors[::7]:
+        cosines = whole[index.ids][:, terms] @ w
+        want = sorted(cosines[cosines > 0], reverse=True)[: toxicity.NEIGHBOURS]
+        got = index.nearest(terms, w)
+        assert np.allclose([c for c, _ in got], want, atol=1e-12) and all(abs(cosines[p] - c) < 1e-12 for c, p in got)
+
+
 def test_line_dedup_deletes_only_later_runs(spark):
     def lines(tag, n=12):
         return "\n".join(f"{tag} line {i} with a few more words in it" for i in range(n))
