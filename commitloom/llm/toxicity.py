@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from . import shared
 
@@ -135,18 +136,19 @@ class TermFinder:
         return [f[0] for f in found], [f[1] for f in found]
 
 
-def features(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """doc_id, term numbers and term frequencies of every row."""
+def features(docs: DataFrame, terms: list[str], keep: list[str], names: tuple[str, str]) -> DataFrame:
+    """The columns `keep` of every row, with the term numbers and term frequencies of its text under two other names."""
     sent = docs.sparkSession.sparkContext.broadcast(terms)  # TERMS at most
-    rows = docs.select("doc_id", shared.text_or_empty(F.col("text")).alias("text"))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = TermFinder(sent.value)
         for batch in batches:
-            pairs = [finder.find(text) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array([p[k] for p in pairs], pa.list_(pa.int32())) for k in (0, 1))], ["doc_id", "terms", "tf"])
+            pairs = [finder.find(text or "") for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array([p[k] for p in pairs], pa.list_(pa.int32())) for k in (0, 1))], [*keep, *names])
 
-    return rows.mapInArrow(found, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, terms array<int>, tf array<int>")
+    rows = docs.select(*dict.fromkeys([*(f"`{c}`" for c in keep), "`text`"]))
+    schema = StructType([*(docs.schema[c] for c in keep), *(StructField(n, ArrayType(IntegerType())) for n in names)])
+    return rows.mapInArrow(found, schema)
 
 
 def unit(terms, tf, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -261,12 +263,13 @@ class Model:
         return float((votes + SMOOTHING * self.base) / (weight + SMOOTHING)), [(int(self.index.ids[p]), c) for c, p in near[:3]]
 
 
-def fit(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES) -> tuple[Model, DataFrame]:
-    """The model and the features of all rows of docs."""
+def fit(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES, keep: list[str] | None = None, names: tuple[str, str] = ("terms", "tf")) -> tuple[Model, DataFrame]:
+    """The model and, written, the features of all rows of docs with their columns `keep` (doc_id alone by default)."""
     sample = shared.materialise(examples(labels, bound).coalesce(1), "toxic-examples")  # `bound` rows at most
     known = docs.select("doc_id", shared.text_or_empty(F.col("text")).alias("text")).join(F.broadcast(sample), "doc_id")
     terms = select_terms(known)
-    found = shared.materialise(features(docs, terms), "toxic-features")
+    written = shared.materialise(features(docs, terms, keep or ["doc_id"], names), "toxic-features")
+    found = written.select("doc_id", *(F.col(f"`{n}`").alias(c) for n, c in zip(names, ("terms", "tf"), strict=True)))
     idf = np.zeros(len(terms))
     n = found.count()
     for r in found.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # TERMS rows at most
@@ -278,7 +281,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES) -> tuple[Mode
     blank = (rates[False][1] + base) / (rates[False][0] + 1) if False in rates else base
     rows = shown.where(F.size("terms") > 0).orderBy("doc_id").collect()  # `bound` rows at most
     index = BlockMaxIndex.build([r["doc_id"] for r in rows], [r["toxic"] for r in rows], [unit(r["terms"], r["tf"], idf) for r in rows], len(terms)) if rows else None
-    return Model(terms, idf, index, base, blank), found
+    return Model(terms, idf, index, base, blank), written
 
 
 def score(found: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -302,14 +305,19 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without the rows that are predicted toxic: all columns, each row judged by its own text."""
-    model, _ = fit(docs, labels)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    """docs without the rows that are predicted toxic: all columns, each row judged by its own text.
+
+    The features are written beside the rows, so that no text is searched twice and ids need not be unique.
+    """
+    names = (shared.free_name(docs, "terms"), shared.free_name(docs, "tf"))
+    model, written = fit(docs, labels, keep=docs.columns, names=names)
+    sent, columns = docs.sparkSession.sparkContext.broadcast(model), docs.columns
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, finder = sent.value, TermFinder(sent.value.terms)
+        m, known = sent.value, {}
         for batch in batches:
-            keep = [m.vote(*finder.find(text or ""))[0] < THRESHOLD for text in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            pairs = zip(*(batch.column(n).to_pylist() for n in names), strict=True)
+            keep = [m.vote_cached(terms, tf, known)[0] < THRESHOLD for terms, tf in pairs]
+            yield batch.select(columns).filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return written.mapInArrow(kept, docs.schema)
