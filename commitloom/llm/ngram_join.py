@@ -4,10 +4,13 @@ A document's set holds the 64-bit hashes of its distinct word n-grams. Equal set
 goes on. The join of the rest has two parts:
 
 *Routing.* Two sets with Jaccard >= t differ in at most H = (1 - t) / (1 + t) * (|a| + |b|) elements. With the hash range cut
-into m > H equal ranges, some range holds the same elements in both, so the sums of the elements' hashes by range are
-signatures of which a linked pair shares one. m is a power of two, and a set emits the signatures of every m that a partner of
-its could need. A set whose empty ranges could hide the shared one emits those as well, so no link is lost. Sets that share a
-signature (each with the smallest, never pairwise) span coarse components: near copies and little else.
+into m > H equal ranges, at least m - H ranges hold the same elements in both, so the sums of the elements' hashes by range are
+marks of which a linked pair shares that many. m is a power of two, and a set emits the marks of every m that a partner of its
+could need. All sets order marks alike, from those of few sets to those of many, empty ranges last; then the least mark that a
+pair shares is among the first H + 1 of either, and the others are dropped: passages that many documents share route nothing.
+A pair could share empty ranges alone only if both fill no more than H, so a set goes on to larger m until it fills more; no
+link is lost. Sets that share a mark (each with the smallest, never pairwise) span coarse components: near copies and little
+else.
 
 *Joining.* The sets of a coarse component are ordered by their n-grams' frequency there, most frequent first, and stored in a
 path-compressed trie. A set's traversal carries the overlap so far down shared paths, and leaves a subtree as soon as the
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import graph, shared
@@ -89,29 +92,23 @@ def least_overlap(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """Of which any linked pair shares at least one."""
+def signatures(tokens: np.ndarray, percent: int) -> tuple[list[np.ndarray], list[int]]:
+    """Marks of the ranges that hold something, by level, and how many of a level's marks may go unused."""
     n = len(tokens)
     if not n:
-        return np.zeros(0, np.int64)
+        return [], []
     low = most_differing(n + -(-percent * n // 100), percent)
     high = most_differing(n + 100 * n // percent, percent)
-    hashes, found = _mixed(tokens, 0x51ED270B), []
-    for bits in range(low.bit_length(), high.bit_length() + 1):  # 2 ** bits > H
-        if not bits:
-            found.append(np.array([hashes.sum()], np.uint64))
-            continue
-        part = (tokens >> np.uint64(64 - bits)).astype(np.int64)
+    hashes, marks, spares = _mixed(tokens, 0x51ED270B), [], []
+    bits, filled = low.bit_length(), 0  # 2 ** bits > H
+    while bits <= high.bit_length() or filled <= high:
+        part = (tokens >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(n, np.int64)
         starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        sums = np.add.reduceat(hashes, starts)
-        labels = part[starts]
-        empty = (1 << bits) - len(starts)
-        # A partner differs in no more than H of the ranges at this level; more empty ones than the slack could be all that's shared.
-        if empty >= (1 << bits) - min(high, (1 << bits) - 1):
-            rest = np.setdiff1d(np.arange(1 << bits), labels, assume_unique=True)
-            labels, sums = np.concatenate((labels, rest)), np.concatenate((sums, np.zeros(len(rest), np.uint64)))
-        found.append(_mixed(sums * _ODD + labels.astype(np.uint64), bits))
-    return np.concatenate(found).view(np.int64)
+        filled = len(starts)
+        marks.append(_mixed(np.add.reduceat(hashes, starts) * _ODD + part[starts].astype(np.uint64), bits + 1).view(np.int64))
+        spares.append(max(0, filled - high - 1))
+        bits += 1
+    return marks, spares
 
 
 class _Node:
@@ -221,8 +218,14 @@ class TrieJoin:
         return [self.find(k) for k in range(n)]
 
 
+def _ends(lists: list) -> pa.Array:
+    return pa.array(np.cumsum([0, *map(len, lists)]), pa.int32())
+
+
 def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, size and two sums that stand for the set, and its signatures."""
+    if percent <= 50:
+        raise ValueError("sets that differ in more than they share can't be routed: percent must be over 50")
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,13 +234,16 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
             for batch in batches:
                 sets = [shingler.shingles(t) for t in batch.column("text").to_pylist()]
                 sums = [[int(_mixed(s, salt).sum().view(np.int64)) if len(s) else 0 for s in sets] for salt in (1, 2)]
-                marks = [signatures(s, percent) for s in sets]
-                ends = np.concatenate(([0], np.cumsum([len(m) for m in marks]))).astype(np.int32)
-                flat = pa.array(np.concatenate(marks) if marks else np.zeros(0, np.int64), pa.int64())
-                columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(s, pa.int64()) for s in sums), pa.ListArray.from_arrays(pa.array(ends), flat)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "h1", "h2", "marks"])
+                found = [signatures(s, percent) for s in sets]
+                levels = [m for marks, _ in found for m in marks]
+                flat = pa.array(np.concatenate(levels) if levels else np.zeros(0, np.int64), pa.int64())
+                by_level = pa.ListArray.from_arrays(_ends(levels), flat)
+                marks = pa.ListArray.from_arrays(_ends([marks for marks, _ in found]), by_level)
+                spares = pa.array([spares for _, spares in found], pa.list_(pa.int32()))
+                columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(s, pa.int64()) for s in sums), marks, spares]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "h1", "h2", "marks", "spares"])
 
-    return rows.mapInArrow(made, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles long, h1 long, h2 long, marks array<long>")
+    return rows.mapInArrow(made, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles long, h1 long, h2 long, marks array<array<long>>, spares array<int>")
 
 
 def _joined(docs: DataFrame, blocks: DataFrame, n: int, percent: int) -> DataFrame:
@@ -294,14 +300,20 @@ def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     same = ["n_shingles", "h1", "h2"]
     classes = shared.materialise(sets.where("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("node")).where("node IS NOT NULL"), "shingle-classes")
     marks = sets.where("n_shingles > 0").join(classes, (sets["doc_id"] == classes["node"]) & (sets["h1"] == classes["h1"]) & (sets["h2"] == classes["h2"]), "left_semi")
-    marks = marks.select(F.col("doc_id").alias("node"), F.explode("marks").alias("mark"))
-    shares = marks.groupBy("mark").agg(F.min("node").alias("least"), F.max("node").alias("most")).where(F.col("least") < F.col("most"))
-    edges = marks.join(shares.select("mark", "least").hint("shuffle_hash"), "mark").where(F.col("node") != F.col("least"))
+    marks = marks.select(F.col("doc_id").alias("node"), "spares", F.posexplode("marks").alias("level", "found"))
+    marks = marks.select("node", "level", F.get("spares", "level").alias("spare"), F.explode("found").alias("mark"))
+    # A mark of one set alone brings nothing together, and comes first in the order.
+    often = marks.groupBy("mark").agg(F.count("*").alias("sets")).where(F.col("sets") > 1)
+    fall = Window.partitionBy("node", "level").orderBy(F.desc("sets"), F.desc("mark"))
+    rare = marks.join(often.hint("shuffle_hash"), "mark").withColumn("turn", F.row_number().over(fall)).where(F.col("turn") > F.col("spare"))
+    rare = shared.materialise(rare.select("node", "mark"), "rare-marks")
+    shares = rare.groupBy("mark").agg(F.min("node").alias("least"), F.max("node").alias("most")).where(F.col("least") < F.col("most"))
+    edges = rare.join(shares.select("mark", "least").hint("shuffle_hash"), "mark").where(F.col("node") != F.col("least"))
     coarse = graph.connected_components(edges.select(F.col("node").alias("u"), F.col("least").alias("v")).distinct())
     labels = shared.materialise(_labels(docs, classes, coarse, n, percent), "shingle-labels")
     named = classes.join(labels, "node", "left").select(*(F.col(c).alias(f"_{c}") for c in same), F.coalesce("component", "node").alias("component"))
     at = [sets[c] == F.col(f"_{c}") for c in same]
-    return sets.drop("marks").join(named, at, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return sets.drop("marks", "spares").join(named, at, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def _parts() -> F.Column:

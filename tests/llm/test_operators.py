@@ -88,6 +88,33 @@ def test_ngrams_against_all_pairs(docs, texts):
         assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), want[r.doc_id])
 
 
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_ngrams_with_a_passage_that_all_share(spark, percent):
+    """Short and edited texts around common passages: marks that many sets share may be dropped, links may not."""
+    random = np.random.default_rng(percent)
+    common = [f"common{i}" for i in range(60)]
+    rows = []
+    for k in range(260):
+        if k % 2 and rows:
+            words = rows[random.integers(len(rows))][1].split()
+            for at in random.integers(len(words), size=random.integers(1, 5)):
+                words[at] = f"edit{k}"
+        else:
+            words = [f"w{x}" for x in random.integers(400, size=random.integers(1, 60))]
+            words[len(words) // 2 : len(words) // 2] = common[: random.integers(60)]
+        rows.append((k, " ".join(words)))
+
+    def shingles(t):
+        w = t.split()
+        return {tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))}
+
+    sets = {k: shingles(t) for k, t in rows}
+    links = [(a, b) for a in sets for b in range(a) if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    want = components(sets, links)
+    for r in ngram_join.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), n=3, percent=percent).collect():
+        assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), want[r.doc_id])
+
+
 KINDS = {
     "assign": (re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 8),
     "access": (re.compile("AKIA[A-Z0-9]+"), 0, 16),
