@@ -8,9 +8,11 @@ about ``LEAF`` vectors; larger leaves are dealt into parts. Each vector's ``K``
 Descent: in each round a vector's neighbours and the vectors it is a neighbour of are joined with each other, if one of the
 pair is new; better ones enter the lists, until few do. Threshold edges of the lists then give components.
 
-Saturation: a list whose last entry still passes the threshold may hide more, so lists are enlarged without bound, but
-never as rows: within each component all vectors meet block against block, and only counts per vector leave a task. Large
-components are cut into blocks that meet two at a time.
+Saturation: a list whose last entry still passes the threshold may hide more. Two vectors whose link no list shows both have
+such full lists, so these vectors get a second list, of the best in other components, by the same start and descent; links
+found there merge components, and this goes on until no second list holds one. Links within a component are never rows: all
+its vectors meet block against block, and only counts per vector leave a task. Large components are cut into blocks that
+meet two at a time.
 
 Audit: ``AUDIT`` vectors, by a fixed hash, are compared with all rows; the share of their links that lie within a component is
 the recall. Links that the audit finds are kept, and below ``RECALL`` the start and the descent go on with fresh tables.
@@ -85,16 +87,21 @@ def _leaves(nodes: DataFrame, seed: int) -> DataFrame:
     return coded.withColumn("part", F.when(F.col("n").isNotNull(), F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / LEAF_MOST))).otherwise(F.lit(0)).cast("int"))
 
 
-def _best(ids: np.ndarray, vectors: np.ndarray, out: list) -> None:
-    """The K best of each of the vectors among the others."""
+def _best(ids: np.ndarray, vectors: np.ndarray, out: list, apart: np.ndarray | None = None) -> None:
+    """The K best of each of the vectors among the others, or among those of other components (`apart`)."""
     if len(ids) < 2:
         return
     unit = _unit(vectors)
     sims = unit @ unit.T
     np.fill_diagonal(sims, -2)
+    if apart is not None:
+        sims[apart[:, None] == apart[None, :]] = -2
     k = min(K, len(ids) - 1)
     top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-    out.append((np.repeat(ids, k), ids[top].ravel(), np.take_along_axis(sims, top, 1).ravel()))
+    best = np.take_along_axis(sims, top, 1).ravel()
+    real = best > -2
+    if real.any():
+        out.append((np.repeat(ids, k)[real], ids[top].ravel()[real], best[real]))
 
 
 def _edges(out: list, kind: pa.DataType) -> pa.RecordBatch:
@@ -102,14 +109,15 @@ def _edges(out: list, kind: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[0], kind), pa.array(columns[1], kind), pa.array(columns[2], pa.float64())], ["node", "other", "sim"])
 
 
-def start(nodes: DataFrame, seed: int) -> DataFrame:
-    """node, other, sim: neighbours within leaves."""
-    kind = dict(nodes.dtypes)["node"]
+def start(nodes: DataFrame, seed: int, components: DataFrame | None = None) -> DataFrame:
+    """node, other, sim: neighbours within leaves, only those of other components if these are given."""
+    kind, parted = dict(nodes.dtypes)["node"], components is not None
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list = []
         for _, rows in shared.groups(batches, ["label", "dim", "table", "leaf", "part"]):
-            _best(rows.column("node").to_numpy(), shared.matrix(rows.column("vector")), out)
+            apart = rows.column("component").to_numpy() if parted else None
+            _best(rows.column("node").to_numpy(), shared.matrix(rows.column("vector")), out, apart)
             if len(out) >= 64:
                 yield _edges(out, rows.schema.field("node").type)
                 out.clear()
@@ -118,6 +126,8 @@ def start(nodes: DataFrame, seed: int) -> DataFrame:
 
     key = ["label", "dim", "table", "leaf", "part"]
     leaves = _leaves(nodes, seed).select("node", "vector", *key)
+    if parted:
+        leaves = leaves.join(components, "node")
     return leaves.repartition(*key).sortWithinPartitions(*key).mapInArrow(near, f"node {kind}, other {kind}, sim double")
 
 
@@ -128,17 +138,29 @@ def _top(edges: DataFrame) -> DataFrame:
     return once.withColumn("rank", rank).where(F.col("rank") <= K).drop("rank")
 
 
-def _join_neighbours(lists: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
-    """Better neighbours among neighbours of neighbours; a pair is compared if one of the two came in the last round."""
-    kind = dict(nodes.dtypes)["node"]
-    fresh = F.col("round") == turn - 1
+def _around(lists: DataFrame, fresh: Column) -> DataFrame:
+    """The 2 * K first neighbours of every node either way."""
     around = lists.select("node", "other", "sim", fresh.alias("new")).unionByName(lists.select(F.col("other").alias("node"), F.col("node").alias("other"), "sim", fresh.alias("new")))
     around = around.groupBy("node", "other").agg(F.max("sim").alias("sim"), F.max("new").alias("new"))
     rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("new"), F.desc("sim"), "other"))
-    around = around.withColumn("rank", rank).where(F.col("rank") <= 2 * K)
+    return around.withColumn("rank", rank).where(F.col("rank") <= 2 * K)
+
+
+def _join_neighbours(lists: DataFrame, nodes: DataFrame, turn: int, ties: DataFrame | None = None, components: DataFrame | None = None) -> DataFrame:
+    """Better neighbours among neighbours of neighbours; a pair is compared if one of the two came in the last round.
+
+    With components, `lists` hold neighbours of other components, `ties` those of any, and only pairs of two components count.
+    """
+    kind, parted = dict(nodes.dtypes)["node"], components is not None
+    around = _around(lists, F.col("round") == turn - 1)
+    if ties is not None:
+        around = around.unionByName(_around(ties, F.lit(False))).groupBy("node", "other").agg(F.max("new").alias("new"))
     worst = lists.groupBy("node").agg(F.min("sim").alias("worst"), F.count("*").alias("n"))
-    members = nodes.select(F.col("node").alias("other"), "vector").join(worst.select(F.col("node").alias("other"), F.when(F.col("n") >= K, F.col("worst")).otherwise(F.lit(-2.0)).alias("worst")), "other", "left")
-    around = around.select("node", "other", "new").join(members, "other")
+    members = nodes.select(F.col("node").alias("other"), "vector").join(worst.select(F.col("node").alias("other"), F.when(F.col("n") >= K, F.col("worst")).alias("worst")), "other", "left")
+    members = members.withColumn("worst", F.coalesce("worst", F.lit(-2.0)))
+    if parted:
+        members = members.join(components.withColumnRenamed("node", "other"), "other")
+    around = around.select("node", "other", "new").join(members, "other")  # other, node, new, vector, worst, component
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list = []
@@ -150,6 +172,9 @@ def _join_neighbours(lists: DataFrame, nodes: DataFrame, turn: int) -> DataFrame
             unit = _unit(shared.matrix(rows.column("vector")))
             sims = unit @ unit.T
             np.fill_diagonal(sims, -3)
+            if parted:
+                apart = rows.column("component").to_numpy()
+                sims[apart[:, None] == apart[None, :]] = -3
             i, j = np.nonzero((new[:, None] | new[None, :]) & (sims > worst[:, None]))
             if len(i):
                 out.append((ids[i], ids[j], sims[i, j]))
@@ -159,15 +184,15 @@ def _join_neighbours(lists: DataFrame, nodes: DataFrame, turn: int) -> DataFrame
         if out:
             yield _edges(out, rows.schema.field("other").type)
 
-    found = around.select("node", "other", "new", "worst", "vector").repartition("node").sortWithinPartitions("node").mapInArrow(met, f"node {kind}, other {kind}, sim double")
+    found = around.repartition("node").sortWithinPartitions("node").mapInArrow(met, f"node {kind}, other {kind}, sim double")
     return found.groupBy("node", "other").agg(F.max("sim").alias("sim"))
 
 
-def descend(nodes: DataFrame, first: DataFrame) -> DataFrame:
-    """Neighbour lists from `first` on, refined until few entries change."""
+def descend(nodes: DataFrame, first: DataFrame, ties: DataFrame | None = None, components: DataFrame | None = None) -> DataFrame:
+    """Neighbour lists from `first` on, refined until few entries change; ties and components as in _join_neighbours."""
     lists = shared.materialise(_top(first.withColumn("round", F.lit(0))), "neighbours")
     for turn in range(1, ROUNDS + 1):
-        found = _join_neighbours(lists, nodes, turn).withColumn("round", F.lit(turn))
+        found = _join_neighbours(lists, nodes, turn, ties, components).withColumn("round", F.lit(turn))
         lists = shared.materialise(_top(lists.unionByName(found)), "neighbours")
         r = lists.agg(F.count("*").alias("n"), F.count_if(F.col("round") == turn).alias("new")).first()
         if r["new"] <= SETTLED * r["n"]:
@@ -175,6 +200,26 @@ def descend(nodes: DataFrame, first: DataFrame) -> DataFrame:
     return lists
 
 
+def _linked(nodes: DataFrame, lists: DataFrame, links: DataFrame, threshold: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """links and their components, with the links between components that full lists hide."""
+    full = lists.groupBy("node").agg(F.count("*").alias("n"), F.min("sim").alias("least")).where((F.col("n") >= K) & (F.col("least") >= threshold))
+    full = shared.materialise(nodes.join(full.select("node"), "node"), "saturated")
+    while True:
+        components = shared.materialise(graph.connected_components(links), "vector-components")
+        apart = full.join(components, "node")
+        several = apart.groupBy("label", "dim").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("label", "dim")
+        apart = shared.materialise(apart.join(several, ["label", "dim"]), "saturated-apart")
+        if apart.isEmpty():
+            return links, components
+        seed += 1
+        some, its = apart.drop("component"), apart.select("node", "component")
+        found = descend(some, start(some, seed, its), lists, its).where(F.col("sim") >= threshold)
+        found = shared.materialise(found.select(F.col("node").alias("u"), F.col("other").alias("v")), "bridges")
+        if found.isEmpty():
+            return links, components
+        links = shared.materialise(links.unionByName(found).distinct(), "threshold-edges")
+
+
 def _audit(nodes: DataFrame, threshold: float) -> DataFrame:
     """u, v: all links of AUDIT nodes, compared with every row of their label."""
     chosen = nodes.orderBy(F.xxhash64("node"), "node").limit(AUDIT).collect()  # AUDIT vectors
@@ -238,10 +283,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     audit = shared.materialise(_audit(nodes, threshold), "audit")
     links, recall, attempt = None, 0.0, 0
     while recall < RECALL and attempt < 3:
-        lists = descend(nodes, start(nodes, SEED + attempt))
+        lists = descend(nodes, start(nodes, SEED + 1000 * attempt))
         found = lists.where(F.col("sim") >= threshold).select(F.col("node").alias("u"), F.col("other").alias("v"))
         links = shared.materialise(found if links is None else links.unionByName(found).distinct(), "threshold-edges")
-        components = shared.materialise(graph.connected_components(links), "vector-components")
+        links, components = _linked(nodes, lists, links, threshold, SEED + 1000 * attempt)
         recall = _recall(audit, components)
         attempt += 1
     components = shared.materialise(graph.connected_components(links.unionByName(audit)), "vector-components")

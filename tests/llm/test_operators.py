@@ -73,6 +73,29 @@ def test_embeddings_against_all_pairs(spark):
         assert (r.component_id, r.n_links, r.kept) == (want[r.vec_id], n.get(r.vec_id, 0), want[r.vec_id] == r.vec_id)
 
 
+def test_embeddings_of_clumps_that_fill_their_lists(spark, monkeypatch):
+    """Clumps whose members all have more than K nearer partners, linked across; more vectors than the audit compares."""
+    monkeypatch.setattr(embedding_neardup, "AUDIT", 4)
+    random = np.random.default_rng(11)
+
+    def near(centre, n, spread):
+        v = centre + spread * random.standard_normal((n, 64)) / 8
+        return v / np.linalg.norm(v, axis=1)[:, None]
+
+    axes = np.linalg.qr(random.standard_normal((64, 64)))[0]
+    tilt = np.arccos(0.94)
+    vectors = [near(axes[0], 120, 0.1), near(np.cos(tilt) * axes[0] + np.sin(tilt) * axes[1], 120, 0.1), near(axes[2], 60, 0.1)]
+    vectors += [near(c, 2, 0.15) for c in near(0, 600, 1)]
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(np.concatenate(vectors))]
+    v = np.array([r[1] for r in rows])
+    linked = v @ v.T >= 0.93
+    np.fill_diagonal(linked, False)
+    assert linked[:120, 120:240].any() and not linked[0, 240:].any()
+    want = components(range(len(rows)), zip(*np.nonzero(linked), strict=True))
+    got = {r.vec_id: (r.component_id, r.n_links) for r in embedding_neardup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {i: (want[i], linked[i].sum()) for i in got} and len(got) == len(rows)
+
+
 def test_ngrams_against_all_pairs(docs, texts):
     word = re.compile(r"[^\x20\x09-\x0D]+")
 
