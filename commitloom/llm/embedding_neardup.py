@@ -15,7 +15,8 @@ its vectors meet block against block, and only counts per vector leave a task. L
 meet two at a time.
 
 Audit: ``AUDIT`` vectors, by a fixed hash, are compared with all rows; the share of their links that lie within a component is
-the recall. Links that the audit finds are kept, and below ``RECALL`` the start and the descent go on with fresh tables.
+the recall. It only measures: below ``RECALL`` the start and the descent go on from the lists with fresh tables, and after
+``ATTEMPTS`` of them the run fails.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, rows without a label or id link with
 nothing; repeated rows count as vectors of their own; ties in cosine go to the smaller id; empty input gives empty output.
@@ -43,6 +44,7 @@ SETTLED = 0.002
 BLOCK = 2048
 AUDIT = 1024
 RECALL = 0.95
+ATTEMPTS = 12
 SEED = 1234577
 
 
@@ -281,15 +283,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     nodes = marked.select("vec_id", "label", "dim", "h1", "h2", "vector").withColumnRenamed("vec_id", "node").join(classes, [*keys, "node"]).dropDuplicates(["node", *keys])
     nodes = shared.materialise(nodes.select("node", "label", "dim", "copies", "vector"), "vector-nodes")
     audit = shared.materialise(_audit(nodes, threshold), "audit")
-    links, recall, attempt = None, 0.0, 0
-    while recall < RECALL and attempt < 3:
-        lists = descend(nodes, start(nodes, SEED + 1000 * attempt))
+    lists, links, recall, attempt = None, None, 0.0, 0
+    while not attempt or recall < RECALL:
+        if attempt == ATTEMPTS:
+            raise RuntimeError(f"recall {recall:.4f} after {ATTEMPTS} attempts, {RECALL} wanted")
+        first = start(nodes, SEED + 1000 * attempt)
+        lists = descend(nodes, first if lists is None else first.unionByName(lists.select("node", "other", "sim")))
         found = lists.where(F.col("sim") >= threshold).select(F.col("node").alias("u"), F.col("other").alias("v"))
         links = shared.materialise(found if links is None else links.unionByName(found).distinct(), "threshold-edges")
         links, components = _linked(nodes, lists, links, threshold, SEED + 1000 * attempt)
         recall = _recall(audit, components)
         attempt += 1
-    components = shared.materialise(graph.connected_components(links.unionByName(audit)), "vector-components")
     counts = _counts(nodes, components, threshold)
     named = classes.join(components, "node", "left").join(counts, "node", "left")
     named = named.select(*(F.col(c).alias(f"_{c}") for c in keys), F.coalesce("component", "node").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
@@ -301,7 +305,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
 
 
 def _recall(audit: DataFrame, components: DataFrame) -> float:
-    """Share of the audited links whose ends share a component, before the audit's own links are added."""
+    """Share of the audited links whose ends share a component; its own links are never added."""
     c = components.select(F.col("node").alias("u"), F.col("component").alias("cu"))
     d = components.select(F.col("node").alias("v"), F.col("component").alias("cv"))
     r = audit.join(c, "u", "left").join(d, "v", "left").agg(F.count("*").alias("n"), F.count_if(F.col("cu") == F.col("cv")).alias("hit")).first()

@@ -96,6 +96,17 @@ def test_embeddings_of_clumps_that_fill_their_lists(spark, monkeypatch):
     assert got == {i: (want[i], linked[i].sum()) for i in got} and len(got) == len(rows)
 
 
+def test_embedding_audit_only_measures(spark, monkeypatch):
+    """With lists that find nothing the audit adds no link, and the run fails below RECALL."""
+    table = spark.createDataFrame([(i, [1.0, i / 1000], 0) for i in range(20)], "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(embedding_neardup, "start", lambda nodes, seed, components=None: nodes.sparkSession.createDataFrame([], "node long, other long, sim double"))
+    monkeypatch.setattr(embedding_neardup, "ATTEMPTS", 1, raising=False)
+    with pytest.raises(RuntimeError, match="recall"):
+        embedding_neardup.near_duplicates(table)
+    monkeypatch.setattr(embedding_neardup, "RECALL", 0.0)
+    assert all(r.component_id == r.vec_id for r in embedding_neardup.near_duplicates(table).collect())
+
+
 def test_ngrams_against_all_pairs(docs, texts):
     word = re.compile(r"[^\x20\x09-\x0D]+")
 
