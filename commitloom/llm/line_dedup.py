@@ -5,9 +5,12 @@ that hold ``NOISE`` words, a *window* the fewest that hold ``SURE`` words. Of th
 least hash is a fingerprint. What a window selects depends on its lines alone, so two texts that share a run of ``SURE`` words
 or more share a fingerprint, and no match is shorter than a unit.
 
-Each fingerprint's first place, by document id and line, leads; the other places are joined with it, never with each other.
-A match is extended both ways: every line looks at the nearest match before and after it, and is deleted if all lines from
-there to itself equal the leader's lines at the same distance. A deleted line thus always has an equal line earlier on.
+Of the places of a fingerprint one, chosen by hash, is the pivot; the others are joined with it, never with each other, and
+compared with it both ways. Two places that leave the pivot after different numbers of lines share the lesser number; those
+that leave it after as many and with the same next line share more and form a group of their own, once for each way, round by
+round until no group has two. So each place gets the most lines that it shares, each way, with any earlier place (by document
+id and line), and these are deleted; a deleted line thus always has an equal line earlier on. Pivots by hash keep the rounds
+few where lines repeat many times over.
 
 Only line numbers and hashes are shuffled until the end, when texts meet the masks of those that change.
 
@@ -62,23 +65,64 @@ def repeated_lines(docs: DataFrame, noise: int = NOISE, sure: int = SURE) -> tup
     lines = shared.materialise(line_table(docs), "lines")
     numbered = shared.materialise(_numbered(lines), "numbered-lines")
     prints = shared.materialise(fingerprints(numbered, noise, sure), "fingerprints")
-    leaders = prints.groupBy("unit").agg(F.min(F.struct("doc_id", "doc", "ln")).alias("first"), F.count("*").alias("n")).where(F.col("n") > 1)
-    matches = prints.join(leaders.drop("n"), "unit").where((F.col("doc") != F.col("first.doc")) | (F.col("ln") != F.col("first.ln")))
-    matches = matches.select("doc", "ln", F.struct(F.col("ln").alias("at"), F.col("first.doc").alias("lead"), (F.col("first.ln") - F.col("ln")).alias("shift")).alias("match"))
-    matches = shared.materialise(matches, "line-matches")
-    own = numbered.select("doc", "ln", "pos", "hash")
-    own = own.join(matches.select("doc").distinct(), "doc").join(matches, ["doc", "ln"], "left")
-    order = Window.partitionBy("doc").orderBy("ln")
-    before = F.last("match", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first("match", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
-    sides = own.withColumn("before", before).withColumn("after", after)
-    sides = sides.select("doc", "ln", "pos", "hash", F.explode(F.array(F.struct(F.lit(1).alias("side"), F.col("before").alias("m")), F.struct(F.lit(-1).alias("side"), F.col("after").alias("m")))).alias("s"))
-    sides = sides.where(F.col("s.m").isNotNull()).select("doc", "ln", "pos", "hash", "s.side", "s.m.at", "s.m.lead", (F.col("ln") + F.col("s.m.shift")).alias("there"))
-    other = numbered.select(F.col("doc").alias("lead"), F.col("ln").alias("there"), F.col("hash").alias("theirs"))
-    sides = sides.join(other, ["lead", "there"], "left").withColumn("differs", (~F.col("hash").eqNullSafe(F.col("theirs"))).cast("int"))
-    run = Window.partitionBy("doc", "side", "at").orderBy(F.abs(F.col("ln") - F.col("at")))
-    same = F.sum("differs").over(run.rowsBetween(Window.unboundedPreceding, 0)) == 0
-    return lines, sides.withColumn("same", same).where("same").select("doc", "pos").distinct()
+    places = prints.select(F.col("unit").alias("group"), F.lit(0).alias("side"), "doc_id", "doc", "ln")
+    hashes, ranges = None, None
+    while True:
+        pivots = places.groupBy("group").agg(F.min(F.struct(F.xxhash64("group", "doc", "ln").alias("by"), "doc_id", "doc", "ln")).alias("pivot"), F.count("*").alias("n")).where(F.col("n") > 1)
+        matches = places.join(pivots.drop("n"), "group").where((F.col("doc") != F.col("pivot.doc")) | (F.col("ln") != F.col("pivot.ln")))
+        matches = matches.select("group", "side", "doc_id", "doc", "ln", F.col("pivot.doc_id").alias("lead_id"), F.col("pivot.doc").alias("lead"), (F.col("pivot.ln") - F.col("ln")).alias("shift"))
+        matches = shared.materialise(matches, "line-matches")
+        if hashes is None:  # later places are among these
+            used = matches.select("doc").unionByName(matches.select(F.col("lead").alias("doc"))).distinct()
+            hashes = numbered.join(used, "doc").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("ln", "hash"))).alias("own"))
+            hashes = shared.materialise(hashes.select("doc", F.col("own.hash").alias("own")), "line-hashes")
+        elif matches.isEmpty():
+            break
+        ways = F.array(*(F.struct(F.lit(side).alias("side"), length.alias("n"), line.alias("next")) for side, length, line in ((1, F.col("high") - F.col("ln"), F.col("after")), (-1, F.col("ln") - F.col("low"), F.col("before")))))
+        sides = _extended(matches, hashes).withColumn("way", F.explode(ways)).where(F.col("side") != -F.col("way.side"))
+        sides = sides.select("group", "way.*", F.struct("doc_id", "doc", "ln").alias("place"), F.struct(F.col("lead_id").alias("doc_id"), F.col("lead").alias("doc"), (F.col("ln") + F.col("shift")).alias("ln")).alias("pivot"))
+        sides = shared.materialise(sides, "extended-matches")
+        found = _shared_before(sides)
+        ranges = found if ranges is None else ranges.unionByName(found)
+        places = sides.where("next is not null").select(F.xxhash64("group", "side", "n", "next").alias("group"), "side", "place.*")
+    gone = ranges.distinct().select("doc", F.explode(F.sequence("low", "high")).alias("ln")).distinct()
+    return lines, numbered.select("doc", "ln", "pos").join(gone, ["doc", "ln"]).select("doc", "pos")
+
+
+def _shared_before(sides: DataFrame) -> DataFrame:
+    """doc, low, high: the most lines that each place, pivots too, is known by now to share with an earlier one.
+
+    sides: group, side, place, pivot and n, the lines that the two share. Of the places with equal n only the first needs a look
+    at the others: at the first places of all numbers, with the pivot as that of the largest.
+    """
+    levels = sides.groupBy("group", "side", "n").agg(F.min("place").alias("place"))
+    levels = levels.unionByName(sides.select("group", "side", F.lit(1 << 30).alias("n"), F.col("pivot").alias("place")).distinct())
+    every = levels.groupBy("group", "side").agg(F.collect_list(F.struct("n", "place")).alias("every"))
+    first = every.select("side", "every", F.explode("every").alias("own"))
+    most = F.array_max(F.transform(F.filter("every", lambda x: x["place"] < F.col("own.place")), lambda x: x["n"]))
+    first = first.select("side", F.col("own.place").alias("place"), F.when(most.isNotNull(), F.least("own.n", most)).alias("n")).where("n is not null")
+    least = levels.select("group", "side", "n", F.col("place").alias("least"))
+    later = sides.join(least, ["group", "side", "n"]).where(F.col("least") < F.col("place")).select("side", "place", "n")
+    ends = F.col("place.ln") + F.col("side") * F.col("n")
+    return first.unionByName(later).select("place.doc", F.least("place.ln", ends).alias("low"), F.greatest("place.ln", ends).alias("high")).distinct()
+
+
+def _extended(matches: DataFrame, hashes: DataFrame) -> DataFrame:
+    """matches with low and high, the lines to which they extend, and the hashes before and after these (null at the ends).
+
+    Matches of a document with the same leader at the same distance are compared together.
+    """
+    places = F.collect_list(F.struct("group", "side", "doc_id", "lead_id", "ln")).alias("places")
+    rows = matches.groupBy("doc", "lead", "shift").agg(places).join(hashes, "doc").join(hashes.select(F.col("doc").alias("lead"), F.col("own").alias("theirs")), "lead")
+    rows = rows.withColumn("from", F.greatest(F.lit(1), 1 - F.col("shift"))).withColumn("to", F.least(F.size("own"), F.size("theirs") - F.col("shift")))
+    unlike = F.filter(F.sequence("from", "to"), lambda i: F.get("own", i - 1) != F.get("theirs", i + F.col("shift") - 1))
+    rows = rows.select("doc", "lead", "shift", "own", "from", "to", unlike.alias("unlike"), F.explode("places").alias("p")).select("doc", "lead", "shift", "own", "from", "to", "unlike", "p.*")
+    rows = rows.where(~F.array_contains("unlike", F.col("ln")))
+    low = F.coalesce(F.array_max(F.filter("unlike", lambda i: i < F.col("ln"))), F.col("from") - 1) + 1
+    high = F.coalesce(F.array_min(F.filter("unlike", lambda i: i > F.col("ln"))), F.col("to") + 1) - 1
+    rows = rows.select("group", "side", "doc_id", "doc", "ln", "lead_id", "lead", "shift", "own", low.alias("low"), high.alias("high"))
+    at = lambda i: F.when(i >= 0, F.get("own", F.greatest(i, F.lit(0))))
+    return rows.select("group", "side", "doc_id", "doc", "ln", "lead_id", "lead", "shift", "low", "high", at(F.col("low") - 2).alias("before"), at(F.col("high")).alias("after"))
 
 
 def without_repeats(docs: DataFrame, noise: int = NOISE, sure: int = SURE) -> DataFrame:

@@ -258,6 +258,41 @@ def test_line_dedup_deletes_only_later_runs(spark):
     assert [got[k] for k in (3, 4, 5, 6)] == [rows[2][1], None, "", "short\nshort\nshort"]
 
 
+def test_line_dedup_finds_runs_beyond_the_first_places(spark):
+    """Runs of an earlier document whose fingerprints lead to still earlier ones that differ there, against brute force."""
+    random = np.random.default_rng(3)
+    line = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n))
+    rows = []
+    for k in range(12):
+        f, g, x, y = line(f"f{k}_", 60), line(f"g{k}_", 60), line(f"x{k}_", 20), line(f"y{k}_", 20)
+        rows += [[f], [f, x, g], [f, y, g], [line(f"o{k}_", 30), f, y, g]]
+    pool = [line(f"p{i}_", int(random.integers(5, 30))) for i in range(12)]
+    rows += [[pool[i] for i in random.integers(0, 12, 14)] for _ in range(40)]
+
+    def wanted(k):
+        gone = set()
+        for other in range(k + 1):
+            a, b = rows[k], rows[other]
+            for i in range(len(a)):
+                for j in range(i if other == k else len(b)):
+                    if i and j and a[i - 1] == b[j - 1]:
+                        continue
+                    n = 0
+                    while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                        n += 1
+                    if sum(len(t.split()) for t in a[i : i + n]) >= line_dedup.SURE:
+                        gone |= set(range(i, i + n))
+        return gone
+
+    table = spark.createDataFrame([(k, "\n".join(r)) for k, r in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.text.split("\n") if r.text else [] for r in line_dedup.without_repeats(table).collect()}
+    for k, r in enumerate(rows):
+        gone = wanted(k)
+        left = [t for i, t in enumerate(r) if i not in gone]
+        assert sum(len(t.split()) for t in got[k]) <= sum(len(t.split()) for t in left), k
+    assert [got[k] for k in (1, 2, 3)] == [rows[1][1:], [rows[2][1]], rows[3][:1]]
+
+
 FORMS = {
     "sharding": lambda d: sharding.shard_documents(d, 24),
     "line dedup": line_dedup.without_repeats,
