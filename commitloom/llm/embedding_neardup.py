@@ -195,7 +195,7 @@ def descend(nodes: DataFrame, first: DataFrame, ties: DataFrame | None = None, c
     lists = shared.materialise(_top(first.withColumn("round", F.lit(0))), "neighbours")
     for turn in range(1, ROUNDS + 1):
         found = _join_neighbours(lists, nodes, turn, ties, components).withColumn("round", F.lit(turn))
-        lists = shared.materialise(_top(lists.unionByName(found)), "neighbours")
+        lists = shared.materialise(_top(lists.unionByName(found)), "neighbours", instead_of=(lists,))
         r = lists.agg(F.count("*").alias("n"), F.count_if(F.col("round") == turn).alias("new")).first()
         if r["new"] <= SETTLED * r["n"]:
             break

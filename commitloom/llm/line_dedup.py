@@ -61,17 +61,17 @@ def fingerprints(numbered: DataFrame, noise: int = NOISE, sure: int = SURE) -> D
 
 
 def repeated_lines(docs: DataFrame, noise: int = NOISE, sure: int = SURE) -> tuple[DataFrame, DataFrame]:
-    """The line table, and (doc, pos) of the lines to delete."""
+    """The line table, and (doc, pos) of the lines to delete; both written."""
     lines = shared.materialise(line_table(docs), "lines")
     numbered = shared.materialise(_numbered(lines), "numbered-lines")
     prints = shared.materialise(fingerprints(numbered, noise, sure), "fingerprints")
     places = prints.select(F.col("unit").alias("group"), F.lit(0).alias("side"), "doc_id", "doc", "ln")
-    hashes, ranges = None, None
+    hashes, ranges, former = None, [], prints
     while True:
         pivots = places.groupBy("group").agg(F.min(F.struct(F.xxhash64("group", "doc", "ln").alias("by"), "doc_id", "doc", "ln")).alias("pivot"), F.count("*").alias("n")).where(F.col("n") > 1)
         matches = places.join(pivots.drop("n"), "group").where((F.col("doc") != F.col("pivot.doc")) | (F.col("ln") != F.col("pivot.ln")))
         matches = matches.select("group", "side", "doc_id", "doc", "ln", F.col("pivot.doc_id").alias("lead_id"), F.col("pivot.doc").alias("lead"), (F.col("pivot.ln") - F.col("ln")).alias("shift"))
-        matches = shared.materialise(matches, "line-matches")
+        matches = shared.materialise(matches, "line-matches", instead_of=(former,))
         if hashes is None:  # later places are among these
             used = matches.select("doc").unionByName(matches.select(F.col("lead").alias("doc"))).distinct()
             hashes = numbered.join(used, "doc").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("ln", "hash"))).alias("own"))
@@ -81,12 +81,15 @@ def repeated_lines(docs: DataFrame, noise: int = NOISE, sure: int = SURE) -> tup
         ways = F.array(*(F.struct(F.lit(side).alias("side"), length.alias("n"), line.alias("next")) for side, length, line in ((1, F.col("high") - F.col("ln"), F.col("after")), (-1, F.col("ln") - F.col("low"), F.col("before")))))
         sides = _extended(matches, hashes).withColumn("way", F.explode(ways)).where(F.col("side") != -F.col("way.side"))
         sides = sides.select("group", "way.*", F.struct("doc_id", "doc", "ln").alias("place"), F.struct(F.col("lead_id").alias("doc_id"), F.col("lead").alias("doc"), (F.col("ln") + F.col("shift")).alias("ln")).alias("pivot"))
-        sides = shared.materialise(sides, "extended-matches")
-        found = _shared_before(sides)
-        ranges = found if ranges is None else ranges.unionByName(found)
+        sides = former = shared.materialise(sides, "extended-matches", instead_of=(matches,))
+        ranges.append(shared.materialise(_shared_before(sides), "repeated-ranges"))
         places = sides.where("next is not null").select(F.xxhash64("group", "side", "n", "next").alias("group"), "side", "place.*")
-    gone = ranges.distinct().select("doc", F.explode(F.sequence("low", "high")).alias("ln")).distinct()
-    return lines, numbered.select("doc", "ln", "pos").join(gone, ["doc", "ln"]).select("doc", "pos")
+    found = ranges[0]
+    for other in ranges[1:]:
+        found = found.unionByName(other)
+    gone = found.distinct().select("doc", F.explode(F.sequence("low", "high")).alias("ln")).distinct()
+    gone = numbered.select("doc", "ln", "pos").join(gone, ["doc", "ln"]).select("doc", "pos")
+    return lines, shared.materialise(gone, "repeated-lines", instead_of=(matches, hashes, numbered, *ranges))
 
 
 def _shared_before(sides: DataFrame) -> DataFrame:
@@ -128,11 +131,10 @@ def _extended(matches: DataFrame, hashes: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame, noise: int = NOISE, sure: int = SURE) -> DataFrame:
     """docs with later repeated runs deleted from text, and n_deleted, the number of lines deleted."""
     lines, gone = repeated_lines(docs, noise, sure)
-    gone = shared.materialise(gone.withColumn("gone", F.lit(True)), "repeated-lines")
-    masks = lines.select("doc", "pos").join(gone.select("doc").distinct(), "doc").distinct().join(gone, ["doc", "pos"], "left")
+    masks = lines.select("doc", "pos").join(gone.select("doc").distinct(), "doc").distinct().join(gone.withColumn("gone", F.lit(True)), ["doc", "pos"], "left")
     masks = masks.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", F.col("gone").isNull().alias("stays")))).alias("mask"))
     key, mask, count = shared.free_name(docs, "_doc"), shared.free_name(docs, "_mask"), "n_deleted"
-    masks = masks.select(F.col("doc").alias(key), F.col("mask.stays").alias(mask))
+    masks = shared.materialise(masks.select(F.col("doc").alias(key), F.col("mask.stays").alias(mask)), "line-masks", instead_of=(lines, gone))
     text = F.col("text").cast("string")
     kept = F.filter(F.arrays_zip(F.split(text, "\n", -1).alias("line"), F.col(mask).alias("stays")), lambda x: x["stays"])
     shorter = F.array_join(F.transform(kept, lambda x: x["line"]), "\n")

@@ -4,13 +4,17 @@ Targets: sources in code-point order (null last) weigh 5, 2, 1, repeating, and s
 ``max_copies`` times what it has, and the excess is shared again by weight (the water level has a closed form over the sources
 sorted by cap / weight, so no loop runs).
 
-Copies: a source whose target is r times its words gives every document floor(r) certain copies. The rest of the target is an
-unequal-probability sample with inclusion probability f = r - floor(r), which differs by source: a document has a uniform
-number u fixed by its content, its Pareto rank is the odds of u divided by the odds of f, and documents enter in rank order
-while their words fit into the rest. One last document closes the gap best. The sample's size is fixed in words, not documents.
+Copies: longer documents are wanted more often, by the number of binary digits of their words (``digits``). A document is to be
+taken min(max_copies, c * digits) times on average, with the one c for each source that makes these words meet its target; c
+has the same closed form, over the few dozen digit counts of a source. The whole part is certain copies. The fraction p, which
+thus differs by document, is its inclusion probability in a sample of fixed size: a document has a uniform number u fixed by
+its content, its Pareto rank is the odds of u divided by the odds of p, and documents enter in rank order while their words
+fit into what the certain copies leave of the target. One last document closes the gap best. The size that is fixed is that in
+words, since the targets are words; the rank at which it is reached lies near 1, where inclusion has the probability p.
 
 No source is ever sorted as a whole, since one may hold a third of all rows: ranks fall into ``BUCKETS`` buckets with partial
-sums, and only the bucket in which the target is crossed is ordered.
+sums, and only the bucket in which the target is crossed is ordered. Only one row for each source (and digit count) meets in
+one task.
 
 Defined cases: null text or a text without words has size 0 and takes 0 words; a null source is a source of its own; rows that
 agree in id and text share their fate; empty input gives empty output; other columns are kept and never clash.
@@ -36,9 +40,14 @@ def sizes(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def uniform(text: Column, seed: int = SEED) -> Column:
-    """In (0, 1), from id and text."""
-    h = F.xxhash64(F.lit(seed), F.col("doc_id"), F.crc32(shared.text_or_empty(text).cast("binary")))
-    return (F.shiftrightunsigned(h, 11).cast("double") + 0.5) / F.lit(float(1 << 53))
+    """In (0, 1), from id and text: 13 hexadecimal digits of a SHA-1."""
+    key = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), shared.text_or_empty(text))
+    return (F.conv(F.substring(F.sha1(key.cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
+
+
+def digits(size: Column) -> Column:
+    """Binary digits of a size: how much a document is wanted."""
+    return F.length(F.bin(size)).cast("double")
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
@@ -61,23 +70,38 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: in
     return rows.select("source", "source_size", F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("level") * F.col("weight"))).alias("target"))
 
 
-def _ranked(sized: DataFrame, goals: DataFrame) -> DataFrame:
-    """Rows with their source's goal, Pareto rank and bucket."""
-    s, g = sized.alias("s"), goals.withColumnRenamed("source", "_goal").alias("g")
-    rows = s.join(g, F.col("s.source").eqNullSafe(F.col("_goal"))).drop("_goal")
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    whole = F.floor(ratio + F.lit(1e-9))
-    rows = rows.withColumn("certain", whole.cast("long")).withColumn("part", F.greatest(ratio - whole, F.lit(0.0)))
-    odds = lambda p: p / (F.lit(1.0) - p)
-    rows = rows.withColumn("rank", F.when(F.col("part") > 0, odds(F.col("u")) / odds(F.col("part"))))
-    rows = rows.withColumn("rest", F.col("target") - F.col("certain") * F.col("source_size"))
+def means(sized: DataFrame, goals: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
+    """source, digits, source_size, target, mean (copies of such documents on average) and rest (words that certain copies leave)."""
+    have = sized.groupBy("source", digits(F.col("size")).alias("digits")).agg(F.sum("size").cast("double").alias("words"))
+    rows = have.join(goals.withColumnRenamed("source", "_goal"), F.col("source").eqNullSafe(F.col("_goal"))).drop("_goal")
+    # From most to fewest digits: c as if all with more digits had max_copies; the first that stays below fixes it for the rest.
+    fall = Window.partitionBy("source").orderBy(F.desc("digits"))
+    before = F.coalesce(F.sum("words").over(fall.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    after = F.sum(F.col("digits") * F.col("words")).over(fall.rowsBetween(0, Window.unboundedFollowing))
+    c = (F.col("target") - F.lit(float(max_copies)) * before) / F.when(after > 0, after)
+    first = F.min(F.when(F.col("c") * F.col("digits") < max_copies, F.struct(-F.col("digits"), "c"))).over(Window.partitionBy("source"))
+    rows = rows.withColumn("c", c).withColumn("c", first["c"])
+    mean = F.when(F.col("source_size") == 0, F.lit(0.0)).when(F.col("c").isNull(), F.lit(float(max_copies))).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(float(max_copies)), F.col("c") * F.col("digits"))))
+    rows = rows.withColumn("mean", mean).withColumn("certain", F.floor(F.col("mean") + F.lit(1e-9)).cast("long"))
+    rest = F.col("target") - F.sum(F.col("certain") * F.col("words")).over(Window.partitionBy("source"))
+    return rows.select("source", "digits", "source_size", "target", "mean", "certain", rest.alias("rest"))
+
+
+def _ranked(sized: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows with the columns of their source and digit count in the plan, Pareto rank and bucket."""
+    p = plan.withColumnsRenamed({"source": "_source", "digits": "_digits"})
+    rows = sized.join(p, F.col("source").eqNullSafe(F.col("_source")) & (digits(F.col("size")) == F.col("_digits"))).drop("_source", "_digits")
+    odds = lambda x: x / (F.lit(1.0) - x)
+    part = F.greatest(F.col("mean") - F.col("certain"), F.lit(0.0))
+    rows = rows.withColumn("part", part).withColumn("rank", F.when((F.col("part") > 0) & (F.col("size") > 0), odds(F.col("u")) / odds(F.col("part"))))
     return rows.withColumn("bucket", F.floor(F.col("rank") / (F.col("rank") + 1) * F.lit(BUCKETS)).cast("int"))
 
 
 def plan_mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
-    """One row for each source: target and where its sample ends."""
+    """One row for each source and digit count: target, mean copies and where the source's sample ends."""
     goals = shared.materialise(targets(sized, weights, max_copies).coalesce(1), "mix-targets")
-    ranked = _ranked(sized, goals).where(F.col("rank").isNotNull() & (F.col("size") > 0))
+    mean = shared.materialise(means(sized, goals, max_copies).coalesce(1), "mix-means", instead_of=(goals,))
+    ranked = _ranked(sized, mean).where(F.col("rank").isNotNull())
     sums = ranked.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
     upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)  # BUCKETS rows at most
     sums = sums.withColumn("upto", F.sum("words").over(upto)).where(F.col("upto") >= F.col("rest"))
@@ -93,14 +117,14 @@ def plan_mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: i
     last = last.withColumnRenamed("source", "_last")
     ends = edge.join(last, F.col("_edge").eqNullSafe(F.col("_last")), "left").drop("_last")
     ends = ends.withColumn("gap", F.col("rest") - F.col("before") - F.coalesce(F.col("run"), F.lit(0))).drop("run", "before", "rest")
-    ends = shared.materialise(ends.coalesce(1), "mix-ends")
+    ends = shared.materialise(ends.coalesce(1), "mix-ends", instead_of=(edge,))
     beyond = ranked.join(ends, at).where(~_taken())
     miss = F.abs(F.col("size") - F.col("gap"))
     close = beyond.where(miss < F.col("gap")).groupBy("source").agg(F.min(F.struct(miss.alias("miss"), "rank", "doc_id", "u")).alias("close"))
     close = close.withColumnRenamed("source", "_close")
-    plan = goals.join(ends, at, "left").join(close, F.col("source").eqNullSafe(F.col("_close")), "left")
-    plan = plan.select("source", "source_size", "target", "edge_bucket", "last", F.struct("close.rank", "close.doc_id", "close.u").alias("close"))
-    return shared.materialise(plan.coalesce(1), "mix-plan")
+    plan = mean.join(ends, at, "left").join(close, F.col("source").eqNullSafe(F.col("_close")), "left")
+    plan = plan.select(*mean.columns, "edge_bucket", "last", F.struct("close.rank", "close.doc_id", "close.u").alias("close"))
+    return shared.materialise(plan.coalesce(1), "mix-plan", instead_of=(mean, ends))
 
 
 def _taken() -> Column:
@@ -114,8 +138,8 @@ def mix(sized: DataFrame, plan: DataFrame) -> DataFrame:
     rows = _ranked(sized, plan)
     key = F.struct("rank", "doc_id", "u")
     extra = _taken() | (F.col("rank").isNotNull() & key.eqNullSafe(F.col("close")))
-    copies = F.least(F.col("certain") + extra.cast("long"), F.lit(MAX_COPIES))
-    return rows.withColumn("copies", copies).drop("certain", "part", "rank", "bucket", "edge_bucket", "last", "close", "rest")
+    copies = F.col("certain") + extra.cast("long")
+    return rows.withColumn("copies", copies).drop("mean", "certain", "part", "rank", "bucket", "edge_bucket", "last", "close", "rest")
 
 
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:

@@ -296,24 +296,39 @@ def _links(held: list, percent: int, us: list, vs: list) -> None:
 
 def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of docs."""
-    sets = shared.materialise(shingle_sets(docs, n, percent), "shingles")
+    wide = shared.materialise(shingle_sets(docs, n, percent), "shingles")
     same = ["n_shingles", "h1", "h2"]
+    sets = shared.materialise(wide.drop("marks", "spares"), "shingle-sums")
     classes = shared.materialise(sets.where("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("node")).where("node IS NOT NULL"), "shingle-classes")
-    marks = sets.where("n_shingles > 0").join(classes, (sets["doc_id"] == classes["node"]) & (sets["h1"] == classes["h1"]) & (sets["h2"] == classes["h2"]), "left_semi")
-    marks = marks.select(F.col("doc_id").alias("node"), "spares", F.posexplode("marks").alias("level", "found"))
-    marks = marks.select("node", "level", F.get("spares", "level").alias("spare"), F.explode("found").alias("mark"))
+    coarse = graph.connected_components(_shared_marks(wide, classes))
+    labels = _labels(docs, classes, coarse, n, percent)
+    shared.discard(coarse)
+    named = classes.join(labels, "node", "left").select(*(F.col(c).alias(f"_{c}") for c in same), F.coalesce("component", "node").alias("component"))
+    at = [sets[c] == F.col(f"_{c}") for c in same]
+    done = sets.join(named, at, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return shared.materialise(done, "shingle-groups", instead_of=(sets, classes, labels))
+
+
+def _shared_marks(wide: DataFrame, classes: DataFrame) -> DataFrame:
+    """u, v: classes that share one of their rarest marks with the least class that has it. Deletes `wide`.
+
+    Marks leave their arrays twice, to be counted and to be met by the counts of those that more sets than one have; shuffles of
+    one step are gone before the next one's.
+    """
+    same = (wide["doc_id"] == classes["node"]) & (wide["h1"] == classes["h1"]) & (wide["h2"] == classes["h2"])
+    held = wide.join(classes, same, "left_semi").select(F.col("doc_id").alias("node"), "spares", "marks")
+    held = shared.materialise(held, "class-marks", instead_of=(wide,))
     # A mark of one set alone brings nothing together, and comes first in the order.
-    often = marks.groupBy("mark").agg(F.count("*").alias("sets")).where(F.col("sets") > 1)
+    often = held.select(F.explode(F.flatten("marks")).alias("mark")).groupBy("mark").agg(F.count("*").alias("sets")).where(F.col("sets") > 1)
+    often = shared.materialise(often, "frequent-marks")
+    marks = held.select("node", "spares", F.posexplode("marks").alias("level", "found"))
+    marks = marks.select("node", F.struct("level", F.get("spares", "level").alias("spare")).alias("level"), F.explode("found").alias("mark"))
     fall = Window.partitionBy("node", "level").orderBy(F.desc("sets"), F.desc("mark"))
-    rare = marks.join(often.hint("shuffle_hash"), "mark").withColumn("turn", F.row_number().over(fall)).where(F.col("turn") > F.col("spare"))
-    rare = shared.materialise(rare.select("node", "mark"), "rare-marks")
+    rare = marks.join(often.hint("shuffle_hash"), "mark").withColumn("turn", F.row_number().over(fall)).where(F.col("turn") > F.col("level.spare"))
+    rare = shared.materialise(rare.select("node", "mark"), "rare-marks", instead_of=(held, often))
     shares = rare.groupBy("mark").agg(F.min("node").alias("least"), F.max("node").alias("most")).where(F.col("least") < F.col("most"))
     edges = rare.join(shares.select("mark", "least").hint("shuffle_hash"), "mark").where(F.col("node") != F.col("least"))
-    coarse = graph.connected_components(edges.select(F.col("node").alias("u"), F.col("least").alias("v")).distinct())
-    labels = shared.materialise(_labels(docs, classes, coarse, n, percent), "shingle-labels")
-    named = classes.join(labels, "node", "left").select(*(F.col(c).alias(f"_{c}") for c in same), F.coalesce("component", "node").alias("component"))
-    at = [sets[c] == F.col(f"_{c}") for c in same]
-    return sets.drop("marks", "spares").join(named, at, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return shared.materialise(edges.select(F.col("node").alias("u"), F.col("least").alias("v")).distinct(), "coarse-edges", instead_of=(rare,))
 
 
 def _parts() -> F.Column:
@@ -340,14 +355,16 @@ def _labels(docs: DataFrame, classes: DataFrame, coarse: DataFrame, n: int, perc
     sized = classes.select("node", "n_shingles", "h1").join(coarse, "node").withColumnRenamed("component", "group")
     blocks = shared.materialise(_blocks(sized), "coarse")
     links = shared.materialise(_joined(docs, blocks, n, percent), "shingle-links")
-    large = blocks.where("parts > 1").select("node", "n_shingles", "h1", "group", "parts")
-    found = shared.materialise(graph.connected_components(links), "shingle-components")
+    large = shared.materialise(blocks.where("parts > 1").select("node", "n_shingles", "h1", "group", "parts"), "large-coarse", instead_of=(blocks,))
+    found = graph.connected_components(links)
     if large.isEmpty():
+        shared.discard(links, large)
         return found
     heads = large.join(found, "node", "left").where(F.coalesce("component", "node") == F.col("node")).drop("component", "parts")
-    links = links.unionByName(shared.materialise(_joined(docs, shared.materialise(_blocks(heads), "heads"), n, percent), "head-links"))
-    found = shared.materialise(graph.connected_components(links), "shingle-components")
-    large = shared.materialise(large.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "large")
+    heads = shared.materialise(_blocks(heads), "heads", instead_of=(found,))
+    nearer = shared.materialise(_joined(docs, heads, n, percent), "head-links", instead_of=(heads,))
+    found = graph.connected_components(links.unionByName(nearer))
+    large = shared.materialise(large.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "large", instead_of=(large,))
     counts = large.groupBy("group", "component").agg(F.count("*").alias("sets"))
     most = counts.groupBy("group").agg(F.max(F.struct("sets", "component"))["component"].alias("most"))
     apart = large.join(most, "group").where(F.col("component") != F.col("most"))
@@ -355,7 +372,11 @@ def _labels(docs: DataFrame, classes: DataFrame, coarse: DataFrame, n: int, perc
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     left = apart.join(pieces, "group").select("node", "h1", F.lit(0).alias("side"), "group", _part(F.col("pieces")).alias("i"), every("parts").alias("j"))
     right = large.join(pieces, "group").select("node", "h1", F.lit(1).alias("side"), "group", _part(F.col("parts")).alias("j"), every("pieces").alias("i"))
-    crossed = shared.materialise(left.unionByName(right), "crossed")
+    crossed = shared.materialise(left.unionByName(right), "crossed", instead_of=(large,))
     if crossed.isEmpty():
+        shared.discard(links, nearer, crossed)
         return found
-    return graph.connected_components(links.unionByName(shared.materialise(_joined(docs, crossed, n, percent), "crossed-links")))
+    last = shared.materialise(_joined(docs, crossed, n, percent), "crossed-links", instead_of=(found, crossed))
+    whole = graph.connected_components(links.unionByName(nearer).unionByName(last))
+    shared.discard(links, nearer, last)
+    return whole

@@ -2,14 +2,16 @@ r"""Secret scans over an incremental blob ledger (native).
 
 Every version of every path is content-addressed (SHA-256 of its bytes). The ledger holds which (blob, rule version) pairs
 were scanned and what they held, so a new rule version or a new commit scans only unseen pairs; findings are joined back to
-every path that holds the blob.
+every path that holds the blob. A span keeps the version of the rule that found it: what a replaced version found stays in the
+ledger and is left out of the result.
 
 The scanned text of a blob is taken from one representative row, found by a join on (blob, path): both sides are spread by
-both keys, so a blob that a third of all rows share is no hot key. Spans come from the gaps between matches (``split``) and
-the matches (``regexp_extract_all``): a running sum of both lengths gives code-point offsets.
+both keys, so a blob that a third of all rows share is no hot key. Texts are searched once; what was found is written without
+them. Spans come from the gaps between matches (``split``) and the matches (``regexp_extract_all``): a running sum of both
+lengths gives code-point offsets.
 
-Defined cases: a null text is the empty blob and has no findings; null ids are paths like any other; repeated rows each get
-their findings; empty input gives empty output; other columns are ignored.
+Defined cases: a null text is the empty blob and has no findings; null ids are paths like any other; repeated rows are one blob
+and each get its findings; empty input gives empty output; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]{12,}", 0, 16),
     Rule("hex", r"[0-9a-f]{32,}", 0, 32),
 )
-_SPAN = "struct<start:bigint,rank:int,kind:string,end:bigint>"
+_SPAN = "struct<start:bigint,rule:string,end:bigint>"
 
 
 def content_addressed(versions: DataFrame, path: str = "doc_id", text: str = "text") -> DataFrame:
@@ -64,24 +66,25 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
         todo = todo.groupBy("blob", "path").agg(F.sort_array(F.collect_set("rule")).alias("rules"))
     v, t = versions.alias("v"), todo.hint("shuffle_hash").alias("t")
     texts = v.join(t, F.col("v.blob").eqNullSafe(F.col("t.blob")) & F.col("v.path").eqNullSafe(F.col("t.path")))
-    texts = texts.select("t.blob", "t.path", "t.rules", "v.text")
-    candidates = [_candidates(r, k) for k, r in enumerate(rules)]
-    found = texts.select("blob", "path", "rules", F.filter(F.array(*candidates), lambda c: F.size(c["hits"]) > 0).alias("found"))
-    # Rows with findings are few, so only they are spread out; the rest of the ledger row is known already.
-    none = found.where(F.size("found") == 0).select("blob", "rules", F.from_json(F.lit("[]"), f"array<{_SPAN}>").alias("spans"))
-    hits = found.where(F.size("found") > 0).select("blob", "path", "rules", F.inline("found"))
-    hits = hits.select("blob", "path", "rules", "kind", "rank", F.posexplode("hits").alias("at", "hit"))
-    order = Window.partitionBy("blob", "kind", "rank").orderBy("at")
+    texts = texts.select("t.blob", "t.rules", "v.text")
+    found = F.filter(F.array(*map(_candidates, rules)), lambda c: F.size(c["hits"]) > 0)
+    # Rows that agree in blob and path bring one blob several times; what was found in it is the same.
+    searched = shared.materialise(texts.select("blob", "rules", found.alias("found")), "searched-blobs")
+    # Blobs with findings are few, so only they are spread out; the rest of the ledger row is known already.
+    none = searched.where(F.size("found") == 0).select("blob", "rules").dropDuplicates(["blob"]).withColumn("spans", F.from_json(F.lit("[]"), f"array<{_SPAN}>"))
+    hits = searched.where(F.size("found") > 0).dropDuplicates(["blob"]).select("blob", "rules", F.inline("found"))
+    hits = hits.select("blob", "rules", "rule", F.posexplode("hits").alias("at", "hit"))
+    order = Window.partitionBy("blob", "rule").orderBy("at")
     upto = F.sum(F.col("hit.gap") + F.col("hit.length")).over(order.rowsBetween(Window.unboundedPreceding, 0))
     spans = hits.withColumn("end", upto).withColumn("start", F.col("end") - F.col("hit.length"))
     spans = spans.groupBy("blob").agg(
         F.first("rules").alias("rules"),
-        F.sort_array(F.collect_list(F.when(F.col("hit.counts"), F.struct("start", "rank", "kind", "end")))).alias("spans"),
+        F.sort_array(F.collect_list(F.when(F.col("hit.counts"), F.struct("start", "rule", "end")))).alias("spans"),
     )
-    return none.unionByName(spans).dropDuplicates(["blob"])
+    return none.unionByName(spans)
 
 
-def _candidates(rule: Rule, rank: int):
+def _candidates(rule: Rule):
     gaps = F.transform(F.split(F.col("text"), rule.pattern, -1), lambda x: F.length(x).cast("bigint"))
     whole = F.regexp_extract_all(F.col("text"), F.lit(rule.pattern), F.lit(0))
     part = F.regexp_extract_all(F.col("text"), F.lit(rule.pattern), F.lit(rule.group))
@@ -92,7 +95,15 @@ def _candidates(rule: Rule, rank: int):
     )
     due = F.array_contains("rules", rule.key) & F.col("text").rlike(rule.pattern)
     empty = F.from_json(F.lit("[]"), "array<struct<gap:bigint,length:bigint,counts:boolean>>")
-    return F.struct(F.lit(rule.kind).alias("kind"), F.lit(rank).alias("rank"), F.when(due, hits).otherwise(empty).alias("hits"))
+    return F.struct(F.lit(rule.key).alias("rule"), F.when(due, hits).otherwise(empty).alias("hits"))
+
+
+def _named(span, rules: tuple[Rule, ...]):
+    """A ledger's span by start, place of its rule among the current ones (null for a replaced version), kind and end."""
+    rank, kind = F.lit(None).cast("int"), F.lit(None).cast("string")
+    for k, r in enumerate(rules):
+        rank, kind = F.when(span["rule"] == r.key, F.lit(k)).otherwise(rank), F.when(span["rule"] == r.key, F.lit(r.kind)).otherwise(kind)
+    return F.struct(span["start"].alias("start"), rank.alias("rank"), kind.alias("kind"), span["end"].alias("end"))
 
 
 def digest(spans, kinds: tuple[str, ...] | None = None):
@@ -115,13 +126,12 @@ def scan_documents(docs: DataFrame, ledger_path: str | None = None, rules: tuple
             ledger = None
     path = ledger_path or shared.new_path(spark, "blob-ledger")
     scan(versions, ledger, rules).write.mode("append").parquet(path)
-    current = [r.key for r in rules]
-    found = spark.read.schema(f"blob binary, rules array<string>, spans array<{_SPAN}>").parquet(path)
-    found = found.where((F.size("spans") > 0) & F.arrays_overlap("rules", F.array(*map(F.lit, current))))
+    found = spark.read.schema(f"blob binary, rules array<string>, spans array<{_SPAN}>").parquet(path).where(F.size("spans") > 0)
     if ledger is not None:  # a blob's rules may have been scanned at different times
-        found = found.select("blob", F.explode("spans").alias("s")).groupBy("blob").agg(F.sort_array(F.collect_set("s")).alias("spans"))
+        found = found.select("blob", F.explode("spans").alias("s")).groupBy("blob").agg(F.collect_set("s").alias("spans"))
+    found = found.select("blob", F.array_sort(F.filter(F.transform("spans", lambda s: _named(s, rules)), lambda s: s["rank"].isNotNull())).alias("spans"))
     rows = versions.select("path", "blob").join(found.select("blob", "spans"), "blob", "left")
-    spans = F.coalesce(F.col("spans"), F.from_json(F.lit("[]"), f"array<{_SPAN}>"))
+    spans = F.coalesce(F.col("spans"), F.from_json(F.lit("[]"), "array<struct<start:bigint,rank:int,kind:string,end:bigint>>"))
     counts = [F.size(F.filter(F.transform(spans, lambda s: s["kind"]), F.lit(r.kind).__eq__)).cast("long").alias(f"n_{r.kind}") for r in rules]
     return rows.select(
         F.col("path").alias("doc_id"),

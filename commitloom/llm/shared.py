@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word of the contracts: a run of anything but space, tab, LF, VT, FF, CR.
 WORD = r"[^\x20\x09-\x0D]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, set to a temporary one only where unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local master may do without; it gets a temporary one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="commitloom-")
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        made = tempfile.mkdtemp(prefix="commitloom-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        path = "file://" + made
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
@@ -25,11 +35,39 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/commitloom/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str, block_mb: int = 128) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there and a lost executor costs no recomputation."""
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is executed meanwhile go when it ends: its result is written, so nothing reads them again."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def materialise(df: DataFrame, label: str, block_mb: int = 128, instead_of: tuple[DataFrame, ...] = ()) -> DataFrame:
+    """Write df to the shared folder and read it back: lineage ends there and a lost executor costs no recomputation.
+
+    `instead_of` are written tables that nothing reads once this one is there; they are deleted.
+    """
     spark, path = df.sparkSession, new_path(df.sparkSession, label)
-    df.write.option("parquet.block.size", block_mb << 20).option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with freed_shuffles(spark):
+        df.write.option("parquet.block.size", block_mb << 20).option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    discard(*instead_of)
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables that materialise() wrote; anything else, and what is gone already, is left alone."""
+    for table in tables:
+        path = None if table is None else table.__dict__.pop("_written_to", None)
+        if path:
+            spark = table.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def text_or_empty(col: Column) -> Column:

@@ -107,7 +107,9 @@ def select_terms(texts: DataFrame) -> list[str]:
 
     g = 2 * (part(a, n * toxic / total) + part(b, n * clean / total) + part(toxic - a, (total - n) * toxic / total) + part(clean - b, (total - n) * clean / total))
     kept = counts.withColumn("g", g).where((F.col("g") >= 2 * math.log(tested / FALSE_TERMS)) & (a / toxic > 3 * b / clean))
-    return [r["term"] for r in kept.orderBy(F.desc("g"), "term").limit(TERMS).collect()]
+    terms = [r["term"] for r in kept.orderBy(F.desc("g"), "term").limit(TERMS).collect()]
+    shared.discard(counts)
+    return terms
 
 
 class TermFinder:
