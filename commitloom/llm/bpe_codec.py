@@ -4,14 +4,17 @@ A text of more than ``CHUNK`` code points is cut into chunks that each run ``OVE
 spread over the cluster and pre-tokenised in parallel. A match of the pattern depends only on what follows its start, so once
 two chunks share a pre-token boundary in their overlap they agree from there on: the first shared one is where the later
 chunk takes over. Only boundaries behind a non-space character count, since there the look-ahead ``\s+(?!\S)`` of the pattern
-can't reach across. If a chunk never resynchronises, the rest of that text is encoded as one piece. Pieces are then encoded,
-and their ids and bytes concatenated in order; decoding concatenates the raw bytes of the ids.
+can't reach across. Chunks between which nothing resynchronises become one piece, which is pre-tokenised again from where it
+starts; its end is compared with the next chunk, and so on until every cut resynchronises. So a piece is about as long as a
+chunk or as its longest pre-token. Pieces are then encoded, and their ids and bytes concatenated in order; decoding
+concatenates the raw bytes of the ids.
 
 The chunk table is written to the shared folder in small row groups: rows keep their key if an executor is lost, and any
-task can read a part of a text, so the cut itself needs no shuffle.
+task can read a part of a text, so the cut itself needs no shuffle. Boundaries are stitched without texts.
 
 Defined cases: null text counts as empty (no ids, no bytes); repeated rows each get their ids; ids of any type and null ids
-pass through; empty input gives empty output; other columns are ignored.
+pass through; empty input gives empty output; other columns are ignored. A run of white space, letters or digits of any length
+is matched outside the library, whose pattern engine overflows its stack on a million, and merged as one pre-token.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from . import shared
 
 CHUNK = 16_384
 OVERLAP = 256
+LONG = 2 * CHUNK
 
 
 def _codec(ranks: bytes, pattern: str):
@@ -37,11 +41,20 @@ def _codec(ranks: bytes, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
-def _coded(codec, text: str) -> tuple[bytes, bytes]:
-    """Ids as little-endian unsigned 32-bit integers, and what they decode to."""
+def _finder(pattern: str):
+    import regex
+
+    return regex.compile(pattern).finditer
+
+
+def _coded(codec, text: str, find) -> tuple[bytes, bytes]:
+    """Ids as little-endian unsigned 32-bit integers, and what they decode to; `find` is the pattern's finditer."""
     import numpy as np
 
-    ids = codec.encode_ordinary(text)
+    if len(text) <= LONG:
+        ids = codec.encode_ordinary(text)
+    else:
+        ids = [i for m in find(text) for i in codec._encode_single_piece(m.group().encode())]
     return np.asarray(ids, "<u4").tobytes(), codec.decode_bytes(ids)
 
 
@@ -50,6 +63,56 @@ def boundaries(text: str, find) -> list[int]:
     return [m.start() for m in find(text) if m.start() and not text[m.start() - 1].isspace()]
 
 
+def _stitched(parts: DataFrame, find_pattern: str, chunk: int, overlap: int) -> DataFrame:
+    """key, first and last (chunks), since and until (where in the text) of every piece."""
+
+    def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = _finder(find_pattern)
+        for batch in batches:
+            heads, tails = [], []
+            for part, text in zip(batch.column("part").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                marks = boundaries(text, find)
+                at = part * chunk
+                heads.append([at + b for b in takewhile(lambda b: b <= overlap, marks)])
+                tails.append([at + b for b in marks if b >= chunk])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "part", "part", "parts")), pa.array(heads, pa.list_(pa.int64())), pa.array(tails, pa.list_(pa.int64()))], ["key", "first", "last", "parts", "head", "tail"])
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Boundaries of joined chunks behind the start of the last one's overlap."""
+        find = _finder(find_pattern)
+        for batch in batches:
+            tails = []
+            for first, last, since, texts in zip(*(batch.column(c).to_pylist() for c in ("first", "last", "since", "texts")), strict=True):
+                skip = since - first * chunk
+                text = _whole(texts, chunk)[skip:]
+                tails.append([since + b for b in boundaries(text, find) if since + b >= (last + 1) * chunk])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("first"), pa.array(tails, pa.list_(pa.int64()))], ["key", "first", "tail"])
+
+    order = Window.partitionBy("key").orderBy("first")
+    pieces = parts.mapInArrow(tokenised, "key long, first int, last int, parts int, head array<long>, tail array<long>")
+    pieces = shared.materialise(pieces, "bpe-marks")
+    while True:
+        cut = pieces.withColumn("until", F.array_min(F.array_intersect("tail", F.lead("head").over(order))))
+        cut = cut.withColumn("since", F.coalesce(F.lag("until").over(order), F.lit(0).cast("long"))).withColumn("broken", F.col("until").isNull() & (F.col("last") < F.col("parts") - 1))
+        if not cut.where("broken").select("key").head(1):
+            return cut.select("key", "first", "last", "since", "until")
+        run = F.sum(F.when(F.coalesce(F.lag("broken").over(order), F.lit(False)), 0).otherwise(1)).over(order)
+        joined = cut.withColumn("run", run).groupBy("key", "run").agg(
+            F.min("first").alias("first"), F.max("last").alias("last"), F.first("parts").alias("parts"), F.min_by("head", "first").alias("head"), F.max_by("tail", "first").alias("tail"), F.min_by("since", "first").alias("since"), F.count("*").alias("n")
+        )
+        joined = shared.materialise(joined, "bpe-joined")
+        wide = joined.where("n > 1").select("key", "first", "last", "since", F.explode(F.sequence("first", "last")).alias("part"))
+        texts = parts.join(wide, ["key", "part"]).groupBy("key", "first").agg(F.first("last").alias("last"), F.first("since").alias("since"), F.sort_array(F.collect_list(F.struct("part", "text"))).alias("texts"))
+        tails = texts.mapInArrow(again, "key long, first int, tail array<long>").withColumnRenamed("tail", "anew")
+        anew = joined.join(tails, ["key", "first"], "left").select("key", "first", "last", "parts", "head", F.coalesce("anew", "tail").alias("tail"))
+        pieces = shared.materialise(anew, "bpe-marks", instead_of=(pieces, joined))
+
+
+def _whole(texts: list[dict], chunk: int) -> str:
+    """Consecutive chunks as one text."""
+    return "".join([*(t["text"][:chunk] for t in texts[:-1]), texts[-1]["text"]])
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """doc_id, ids (binary, little-endian unsigned 32-bit) and decoded (binary) of every row."""
     with open(ranks_path, "rb") as f:
@@ -58,9 +121,9 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, chunk: int
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(sent.value, pattern)
+        codec, find = _codec(sent.value, pattern), _finder(pattern)
         for batch in batches:
-            done = [_coded(codec, t) for t in batch.column("text").to_pylist()]
+            done = [_coded(codec, t, find) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([d[0] for d in done], pa.binary()), pa.array([d[1] for d in done], pa.binary())], ["doc_id", "ids", "decoded"])
 
     long = F.length("text") > chunk
@@ -79,44 +142,23 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, chunk: int
     parts = keyed.mapInArrow(cut, f"key long, doc_id {kind}, part int, parts int, text string")
     parts = shared.materialise(parts, "bpe-chunks", block_mb=4)
 
-    def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        find = regex.compile(pattern).finditer
-        for batch in batches:
-            heads, tails = [], []
-            for part, text in zip(batch.column("part").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                marks = boundaries(text, find)
-                at = part * chunk
-                heads.append([at + b for b in takewhile(lambda b: b <= overlap, marks)])
-                tails.append([at + b for b in marks if b >= chunk])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(heads, pa.list_(pa.int64())), pa.array(tails, pa.list_(pa.int64()))], [*batch.schema.names, "head", "tail"])
-
-    marked = parts.mapInArrow(tokenised, f"key long, doc_id {kind}, part int, parts int, text string, head array<long>, tail array<long>")
-    order = Window.partitionBy("key").orderBy("part")
-    stitched = marked.withColumn("until", F.array_min(F.array_intersect("tail", F.lead("head").over(order))))
-    # From the first chunk whose successor doesn't resynchronise, the rest of the text is one piece.
-    broken = F.when(F.col("until").isNull() & (F.col("part") < F.col("parts") - 1), F.col("part"))
-    stitched = stitched.withColumn("since", F.coalesce(F.lag("until").over(order), F.lit(0)))
-    stitched = stitched.withColumn("piece", F.least("part", F.min(broken).over(Window.partitionBy("key"))))
-    pieces = stitched.groupBy("key", "piece").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.min_by("since", "part").alias("since"),
-        F.max_by(F.struct("until"), "part")["until"].alias("until"),
-        F.sort_array(F.collect_list(F.struct("part", "text"))).alias("texts"),
+    pieces = _stitched(parts, pattern, chunk, overlap)
+    spread = pieces.select("key", "first", "since", "until", F.explode(F.sequence("first", "last")).alias("part"))
+    texts = parts.join(spread.hint("shuffle_hash"), ["key", "part"]).groupBy("key", F.col("first").alias("piece")).agg(
+        F.first("doc_id").alias("doc_id"), F.first("since").alias("since"), F.first("until").alias("until"), F.sort_array(F.collect_list(F.struct("part", "text"))).alias("texts")
     )
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(sent.value, pattern)
+        codec, find = _codec(sent.value, pattern), _finder(pattern)
         for batch in batches:
             done = []
             for since, until, texts in zip(*(batch.column(c).to_pylist() for c in ("since", "until", "texts")), strict=True):
                 at = texts[0]["part"] * chunk
-                text = "".join([*(t["text"][:chunk] for t in texts[:-1]), texts[-1]["text"]])
-                done.append(_coded(codec, text[since - at : None if until is None else until - at]))
+                text = _whole(texts, chunk)
+                done.append(_coded(codec, text[since - at : None if until is None else until - at], find))
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), batch.column("piece"), *(pa.array([d[k] for d in done], pa.binary()) for k in (0, 1))], ["key", "doc_id", "piece", "ids", "decoded"])
 
-    encoded = pieces.mapInArrow(coded, f"key long, doc_id {kind}, piece int, ids binary, decoded binary")
+    encoded = texts.mapInArrow(coded, f"key long, doc_id {kind}, piece int, ids binary, decoded binary")
     ordered = encoded.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("piece", "ids", "decoded"))).alias("all"))
     joined = [F.unhex(F.array_join(F.transform("all", lambda x: F.hex(x[name])), "")).alias(name) for name in ("ids", "decoded")]
     return short.unionByName(ordered.select("doc_id", *joined))
