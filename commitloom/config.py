@@ -20,7 +20,7 @@ WEIGHTS = {
 # Word lists.
 RATIONALE_WORDS = ("because", "since", "due to", "reason", "trigger", "cause", "fixes", "resolves")
 TRIVIAL_WORDS = ("typo", "whitespace", "formatting", "cleanup", "unused", "indent", "style")
-MERGE_PHRASES = ("merge branch", "merge pull request", "merge commit", "merge remote")
+MERGE_PHRASES = ("Merge branch", "Merge pull request", "Merge commit", "Merge remote")
 # Flag bit, tag and pattern, in the order in which tags are listed.
 TAG_RULES = (
     (1, "security", r"\b(CVE-\d{4}-\d+|overflow|use-after-free|uaf|double-free|bounds check|sanitizer|leak|vulnerability|exploit|syzkaller|locking|race condition)\b"),
@@ -104,8 +104,8 @@ CATEGORY_WORDS = {
     "Bug Fix": ("copy", "before", "free", "fix"),
     "Memory Leak": ("kfree", "free", "goto", "err", "cleanup"),
     "Race Condition": ("lock", "unlock", "spin_lock", "mutex"),
-    "NULL Pointer": ("if (!", "null", "check", "!desc"),
-    "Locking": ("rcu_read_lock", "rcu_read_unlock", "rcu"),
+    "NULL Pointer": ("if (!", "NULL", "check", "!desc"),
+    "Locking": ("rcu_read_lock", "rcu_read_unlock", "RCU"),
 }
 STYLE_MARKS = ("#include", "static ", "struct ", "return ", "\t")
 
@@ -158,6 +158,13 @@ HUB_TIERS = (
 )
 
 
+PREP_TIERS = (
+    Tier("premium", 90, limit=5_000),
+    Tier("premium_ai", 0, 4, True, 2_000),
+    Tier("high_quality", 70, limit=20_000),
+)
+
+
 @dataclass(frozen=True)
 class ExtractConfig:
     max_diff: int = 100_000

@@ -100,7 +100,7 @@ def rubric(response: Column, category: Column) -> Column:
     for name, keys in config.CATEGORY_WORDS.items():
         hit = F.lit(False)
         for k in keys:
-            hit = hit | low.contains(k)
+            hit = hit | low.contains(k.lower())
         words = words | ((category == name) & hit)
     marks = sum((response.contains(p).cast("int") for p in config.STYLE_MARKS), F.lit(0))
     return F.struct(

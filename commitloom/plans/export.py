@@ -77,9 +77,29 @@ def first_file(files: DataFrame) -> DataFrame:
     return files.groupBy("commit_hash").agg(least).select("commit_hash", "least.*")
 
 
+def first_paths(chosen: DataFrame, files: DataFrame) -> DataFrame:
+    """chosen commits with the least path of their file changes: no code is shuffled, and only keys of the chosen commits are."""
+    paths = files.select("commit_hash", "file_path").join(chosen.select("commit_hash"), "commit_hash", "left_semi")
+    return chosen.join(paths.groupBy("commit_hash").agg(F.min("file_path").alias("file_path")), "commit_hash")
+
+
+def with_code(chosen: DataFrame, files: DataFrame, *columns: str) -> DataFrame:
+    """chosen (one row for each commit_hash, file_path) with columns of that file change; of repeated rows the least."""
+    keys = ["commit_hash", "file_path"]
+    code = files.select(*keys, *columns).join(chosen.select(*keys), keys, "left_semi")
+    return chosen.join(first_file(code).drop("file_path"), "commit_hash")
+
+
 def largest_diff(files: DataFrame) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("commit_hash").orderBy(text.byte_length(F.col("diff_hunk")).desc(), "file_path"))
-    return files.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    """Each commit's longest diff, of equal ones that of least path: places first, then one row's columns."""
+    rest = [c for c in files.columns if c not in ("commit_hash", "file_path")]
+    most = F.max_by(F.struct("file_path", *rest), F.struct(text.byte_length(F.col("diff_hunk")).alias("n"), _fallen("file_path").alias("by"))).alias("most")
+    return files.groupBy("commit_hash").agg(most).select("commit_hash", "most.*")
+
+
+def _fallen(path: str) -> Column:
+    """Bytes that order paths backwards: every byte from 255 down, with an end mark above all."""
+    return F.concat(F.translate(F.hex(F.encode(path, "UTF-8")), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
 
 
 def _top(rows: DataFrame, order: list, limit: int | None) -> DataFrame:
@@ -88,8 +108,10 @@ def _top(rows: DataFrame, order: list, limit: int | None) -> DataFrame:
 
 def batch(commits: DataFrame, files: DataFrame, min_heuristic: float, limit: int | None = None) -> DataFrame:
     """Best commits first, each with its first file of a diff of 50 to 5000 bytes."""
-    f = first_file(window_of(files, 50, 5000).select("commit_hash", "file_path", "code_before", "diff_hunk"))
-    rows = commits.where(F.col("heuristic_score") >= min_heuristic).join(f, "commit_hash")
+    f = window_of(files, 50, 5000)
+    chosen = first_paths(commits.where(F.col("heuristic_score") >= min_heuristic), f)
+    chosen = _top(chosen, [F.desc("heuristic_score"), "commit_hash"], limit)
+    rows = with_code(chosen, f, "code_before", "diff_hunk")
     rows = rows.select("commit_hash", "heuristic_score", text.strip(message()).alias("instruction"), text.prefix(F.col("code_before"), 2000).alias("input"), F.col("diff_hunk").alias("output"))
     return _top(rows, [F.desc("heuristic_score"), "commit_hash"], limit)
 
@@ -107,12 +129,13 @@ def tier_commits(commits: DataFrame, tier: config.Tier) -> DataFrame:
 
 
 def tier(commits: DataFrame, files: DataFrame, t: config.Tier) -> DataFrame:
-    """A tier's records without cleaning; reasoning tiers go by model score first."""
-    f = first_file(window_of(files, 50, 5000).select("commit_hash", "file_path", "code_before", "diff_hunk"))
-    rows = tier_commits(commits, t).join(f, "commit_hash")
+    """A tier's records without cleaning; reasoning tiers go by model score first. The limit holds before code is read."""
+    f = window_of(files, 50, 5000)
+    order = [*([F.desc("ai_quality_score")] if t.reasoning else []), F.desc("heuristic_score"), "commit_hash"]
+    chosen = _top(first_paths(tier_commits(commits, t), f), order, t.limit)
+    rows = with_code(chosen, f, "code_before", "diff_hunk")
     rows = rows.select("commit_hash", "heuristic_score", "ai_quality_score", text.strip(message()).alias("instruction"), text.prefix(F.col("code_before"), 2000).alias("input"), F.col("diff_hunk").alias("output"))
-    order = [F.desc("ai_quality_score")] if t.reasoning else []
-    return _top(rows, [*order, F.desc("heuristic_score"), "commit_hash"], t.limit)
+    return _top(rows, order, t.limit)
 
 
 def cleaned(rows: DataFrame, strict: bool) -> DataFrame:
@@ -125,8 +148,10 @@ def production_outcomes(commits: DataFrame, files: DataFrame, t: config.Tier) ->
     """Every candidate commit of a tier with its outcome: exported, skipped_ai_negative, skipped_no_diff or skipped_validation."""
     wanted = tier_commits(commits, t).dropDuplicates(["commit_hash"]).select("commit_hash", "subject", "body", "heuristic_score", "ai_quality_score", "ai_score_reason")
     negative = F.coalesce(F.col("ai_quality_score") <= -1, F.lit(False))
-    f = first_file(window_of(files, config.MIN_OUTPUT, config.MAX_OUTPUT).select("commit_hash", "file_path", "code_before", "diff_hunk", "subsystem"))
-    rows = cleaned(wanted.withColumn("negative", negative).join(f, "commit_hash", "left"), t.strict)
+    wanted = wanted.withColumn("negative", negative)
+    f = window_of(files, config.MIN_OUTPUT, config.MAX_OUTPUT)
+    held = with_code(first_paths(wanted.select("commit_hash"), f), f, "code_before", "diff_hunk", "subsystem")
+    rows = cleaned(wanted.join(held, "commit_hash", "left"), t.strict)
     outcome = F.when(F.col("negative"), "skipped_ai_negative").when(F.col("diff_hunk").isNull(), "skipped_no_diff").when(F.col("reason").isNotNull(), "skipped_validation").otherwise("exported")
     return rows.withColumn("outcome", outcome)
 
@@ -142,9 +167,18 @@ def production_tier(commits: DataFrame, files: DataFrame, t: config.Tier, system
     return rows.select("commit_hash", "subsystem", "instruction", "input", "output", *extra)
 
 
+def record_bytes() -> Column:
+    """UTF-8 bytes of a record's JSON line."""
+    return F.octet_length(F.to_json(F.struct("instruction", "input", "output"))) + 1
+
+
 def outcome_counts(outcomes: DataFrame) -> DataFrame:
-    size = F.octet_length(F.to_json(F.struct("instruction", "input", "output"))) + 1
-    return outcomes.groupBy("outcome").agg(F.count("*").alias("commits"), F.coalesce(F.sum(F.when(F.col("outcome") == "exported", size)), F.lit(0)).alias("bytes"))
+    return outcomes.groupBy("outcome").agg(F.count("*").alias("commits"), F.coalesce(F.sum(F.when(F.col("outcome") == "exported", record_bytes())), F.lit(0)).alias("bytes"))
+
+
+def subsystem_counts(records_: DataFrame) -> DataFrame:
+    """Records and their bytes for each subsystem."""
+    return records_.groupBy("subsystem").agg(F.count("*").alias("records"), F.sum(record_bytes()).alias("bytes"))
 
 
 def hub_tier(commits: DataFrame, files: DataFrame, t: config.Tier) -> DataFrame:
@@ -209,11 +243,12 @@ def reviewer_set(commits: DataFrame, files: DataFrame, min_ai: float = 4, limit:
     """Rating prompts with the model's score and reason as proper JSON; the limit is on commits, before the diff lookup."""
     rated = commits.where((F.col("ai_quality_score") >= min_ai) & (text.byte_length(F.coalesce("ai_score_reason", F.lit(""))) > 20))
     rated = rated.orderBy(F.desc("ai_quality_score"), "commit_hash").limit(limit)
-    f = first_file(window_of(files, 100, 8000, None).select("commit_hash", "file_path", "diff_hunk"))
+    f = window_of(files, 100, 8000, None)
+    rated = with_code(first_paths(rated, f), f, "diff_hunk")
     a, b, c = config.REVIEWER_PARTS
     ask = F.concat(F.lit(a), text.prefix(text.strip(message()), config.MAX_PROMPT_INSTRUCTION), F.lit(b), text.prefix(F.col("diff_hunk"), config.MAX_OUTPUT), F.lit(c))
     answer = F.concat(F.lit('{"score": '), F.col("ai_quality_score").cast("int").cast("string"), F.lit(', "reason": '), _quoted(F.col("ai_score_reason")), F.lit("}"))
-    return rated.join(f, "commit_hash").select(F.lit(config.REVIEWER_SYSTEM).alias("system"), ask.alias("instruction"), answer.alias("output"), F.col("commit_hash").alias("_commit_hash"))
+    return rated.select(F.lit(config.REVIEWER_SYSTEM).alias("system"), ask.alias("instruction"), answer.alias("output"), F.col("commit_hash").alias("_commit_hash"))
 
 
 def _quoted(c: Column) -> Column:
@@ -221,11 +256,20 @@ def _quoted(c: Column) -> Column:
     return F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
 
 
-def hub_prep(commits: DataFrame, files: DataFrame) -> DataFrame:
-    """Records of train and validation sets: first file's code cut at 8000 and diff at 12000 code points."""
-    f = first_file(window_of(files, config.MIN_OUTPUT, config.MAX_OUTPUT).select("commit_hash", "file_path", "code_before", "diff_hunk"))
+def hub_prep(commits: DataFrame, files: DataFrame, t: config.Tier | None = None) -> DataFrame:
+    """Records of train and validation sets: first file's code cut at 8000 and diff at 12000 code points.
+
+    A tier narrows the commits: by heuristic score, or by model score and a reason of more than 10 bytes, and by a limit.
+    """
+    f = window_of(files, config.MIN_OUTPUT, 5000)
+    order = [*([F.desc("ai_quality_score")] if t and t.reasoning else []), F.desc("heuristic_score"), "commit_hash"]
+    if t is not None:
+        commits = commits.where(F.col("heuristic_score") >= t.min_heuristic)
+        if t.reasoning:
+            commits = commits.where((F.col("ai_quality_score") >= t.min_ai) & (text.byte_length(F.coalesce("ai_score_reason", F.lit(""))) > 10))
+        commits = _top(commits, order, t.limit)  # the limit is on commits, before the look-up
     scored = F.coalesce((F.col("ai_quality_score") != 0) & (F.col("ai_score_reason") != ""), F.lit(False))
-    return commits.join(f, "commit_hash").select(
+    return with_code(first_paths(commits, f), f, "code_before", "diff_hunk").select(
         "commit_hash",
         F.lit(config.SYSTEM_PROMPT).alias("system"),
         text.strip(message()).alias("instruction"),
@@ -260,11 +304,11 @@ def hidden_gems(commits: DataFrame, files: DataFrame, count: int = 50, seed: int
     """Small commits with short messages and no high score, with their largest .c or .h diff: candidates for rewriting."""
     few = F.col("files_changed").between(1, 5) & (text.byte_length(F.col("body")) < 150)
     low = F.col("ai_quality_score").isNull() | (F.col("ai_quality_score") < 4)
-    chosen = random_rows(commits.where(few & low & (F.col("is_merge") == 0)), "commit_hash", 2 * count, seed)
-    f = largest_diff(files.where(F.col("file_extension").isin(*config.CODE_EXTENSIONS)))
-    n = F.length("diff_hunk")
-    rows = chosen.join(f.select("commit_hash", "file_path", "code_before", "diff_hunk", "subsystem"), "commit_hash")
-    return rows.where(n.between(100, 8000)).select("commit_hash", "subject", "body", "file_path", "subsystem", "code_before", "diff_hunk")
+    chosen = random_rows(commits.where(few & low).select("commit_hash", "subject", "body"), "commit_hash", 2 * count, seed)
+    f = files.where(F.col("file_extension").isin(*config.CODE_EXTENSIONS)).select("commit_hash", "file_path", "code_before", "diff_hunk", "subsystem")
+    f = largest_diff(f.join(F.broadcast(chosen.select("commit_hash")), "commit_hash", "left_semi"))  # 2 * count hashes
+    rows = chosen.join(f, "commit_hash")
+    return rows.where(F.length("diff_hunk").between(100, 8000)).select("commit_hash", "subject", "body", "file_path", "subsystem", "code_before", "diff_hunk")
 
 
 def alpaca(rows: DataFrame, colon: bool = True, end: str = "") -> DataFrame:

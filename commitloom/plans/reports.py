@@ -43,9 +43,10 @@ def top_subsystems(files: DataFrame, n: int = 20) -> DataFrame:
 
 
 def line_histogram(files: DataFrame) -> DataFrame:
+    """File changes by lines changed, in the order of the labels as text."""
     n = F.col("lines_added") + F.col("lines_deleted")
     label = F.when(n < 10, "0-10").when(n < 50, "10-50").when(n < 100, "50-100").when(n < 500, "100-500").otherwise("500+")
-    return files.groupBy(label.alias("bucket")).agg(F.count("*").alias("changes"))
+    return files.groupBy(label.alias("bucket")).agg(F.count("*").alias("changes")).orderBy("bucket")
 
 
 def files_per_commit(commits: DataFrame, files: DataFrame, least: float = 90, n: int = 20) -> DataFrame:

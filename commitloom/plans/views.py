@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import config
+
 COMMITS = """
 SELECT sha1(concat('c', o.o_orderkey)) AS commit_hash,
        o.o_orderkey AS k,
        c.c_name AS author_name,
-       concat(lower(c.c_name), '@example.org') AS author_email,
+       CASE WHEN c.c_custkey % 40 = 0 THEN '{maintainer}' ELSE concat(lower(c.c_name), '@example.org') END AS author_email,
        o.o_orderdate AS author_date,
        o.o_orderdate AS commit_date,
        concat(CASE o.o_orderkey % 9 WHEN 0 THEN 'net: core: fix memory leak in ' WHEN 1 THEN 'Revert "mm: speed up alloc" of '
@@ -55,23 +57,72 @@ FROM (SELECT l.l_orderkey AS k, sha1(concat('c', l.l_orderkey)) AS commit_hash,
       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey) x
 """
 
+#: Commits as they are read: messages with leading and trailing blanks, trailers of every form, and 0, 1 or 2 parents.
+RAW_COMMITS = """
+SELECT sha1(concat('c', o_orderkey)) AS commit_hash, o_orderkey AS k,
+       concat(CASE WHEN o_orderkey % 3 = 0 THEN '  ' ELSE '' END, 'core: change of ', o_orderpriority, CASE WHEN o_orderkey % 4 = 0 THEN '  ' ELSE '' END,
+              CASE WHEN o_orderkey % 6 = 5 THEN '' ELSE concat(chr(10), chr(10), ' Work of ', o_clerk, chr(10),
+                CASE o_orderkey % 5 WHEN 0 THEN concat('Fixes: 12ab34cd56 ("x")', chr(10)) WHEN 1 THEN concat('fixes:  ABCDEF1 later', chr(10)) WHEN 2 THEN concat('Fixes: 12345', chr(10)) WHEN 3 THEN concat('  Fixes: 1234567', chr(10)) ELSE '' END,
+                'Signed-off-by: A <a@x>', chr(10), CASE WHEN o_orderkey % 2 = 0 THEN concat('Signed-off-by:  B <b@x>', chr(10)) ELSE '' END,
+                CASE WHEN o_orderkey % 7 = 0 THEN concat('Reviewed-by: R <r@x> # twice', chr(10)) ELSE '' END, CASE WHEN o_orderkey % 11 = 0 THEN concat('Acked-by: K <k@x>', chr(10)) ELSE '' END, 'signed-off-by: lower', chr(10), chr(10)) END) AS message,
+       CASE WHEN o_orderkey % 13 = 0 THEN '' WHEN o_orderkey % 13 = 1 THEN NULL ELSE o_clerk END AS author_name,
+       CASE WHEN o_orderkey % 13 = 1 THEN NULL ELSE 'a@x' END AS author_email,
+       CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_clerk END AS committer_name, CAST(NULL AS {string}) AS committer_email,
+       CAST(1000000000 + o_orderkey AS BIGINT) AS author_time, CAST(1000000100 + o_orderkey AS BIGINT) AS commit_time,
+       CASE WHEN o_orderkey % 7 = 0 THEN {array}'p', 'q'{end} WHEN o_orderkey % 7 = 1 THEN {none} ELSE {array}'p'{end} END AS parents
+FROM orders
+"""
+
+#: Paths of raw deltas, with the extension and subsystem that they should get.
+PATHS = (
+    ("drivers/net/ethernet/e1000.c", ".c", "drivers/net"), ("kernel/fork.c", ".c", "kernel"), ("Makefile", "", "root"), ("arch/arm64/boot/dts/foo.dts", ".dts", "arch/arm64"), ("init/main.c", ".c", "init/main.c"),
+    ("lib/a.b/Makefile", ".b/Makefile", "lib/a.b"), ("include/linux/sched.h", ".h", "include"), ("net/logo.PNG", ".PNG", "net"), ("{excluded}x/y.h", ".h", ""), ("drivers/Kconfig", "", "drivers"),
+)
+RAW_DELTAS = """
+SELECT sha1(concat('c', l_orderkey)) AS commit_hash, l_linenumber AS n, s AS status, l_suppkey % 10 AS which,
+       CASE WHEN s = 'A' THEN NULL WHEN s IN ('R', 'C') THEN concat('old/', l_linenumber, '/', path) ELSE path END AS old_path,
+       CASE WHEN s = 'D' THEN NULL ELSE path END AS new_path,
+       CASE WHEN l_shipmode = 'AIR' THEN true WHEN l_shipmode = 'RAIL' THEN NULL ELSE false END AS is_binary,
+       CASE WHEN l_tax = 0 THEN NULL ELSE concat('--- a/', path, chr(10), '+++ b/', path, chr(10), '@@ -1 +1,2 @@', chr(10), repeat(concat('-old', chr(10)), CAST(l_quantity AS INT) % 3), repeat(concat('+new', chr(10)), CAST(l_quantity AS INT) % 5)) END AS patch,
+       CASE WHEN s = 'A' THEN NULL ELSE 'before' END AS code_before, CASE WHEN s = 'D' THEN NULL ELSE 'after' END AS code_after
+FROM (SELECT *, CASE l_linenumber % 6 WHEN 0 THEN 'A' WHEN 1 THEN 'M' WHEN 2 THEN 'D' WHEN 3 THEN 'R' WHEN 4 THEN 'C' ELSE 'T' END AS s, CASE l_suppkey % 10 {paths} END AS path FROM lineitem) x
+"""
+
+#: Answers of two models to the same tests; every part of the rubric is met by some and missed by others.
+RESPONSES = """
+SELECT CAST(o_orderkey AS INT) AS id, CASE o_orderkey % 6 WHEN 0 THEN 'Bug Fix' WHEN 1 THEN 'Memory Leak' WHEN 2 THEN 'Race Condition' WHEN 3 THEN 'NULL Pointer' WHEN 4 THEN 'Locking' ELSE 'Other' END AS category,
+       concat(CASE o_orderkey % 4 WHEN 0 THEN 'diff --git a b' WHEN 1 THEN '@@ -1 +1 @@' ELSE 'prose' END, chr(10), CASE WHEN o_orderkey % 3 = 0 THEN '--- a +++ b' ELSE 'none' END, repeat(concat(chr(10), ' x'), CAST(o_orderkey % 5 AS INT)),
+              CASE o_orderkey % 7 WHEN 0 THEN ' KFREE it' WHEN 1 THEN ' Mutex' WHEN 2 THEN ' rcu' WHEN 3 THEN ' if (!p) check null' WHEN 4 THEN ' copy before' ELSE '' END, CASE WHEN o_orderkey % 2 = 0 THEN ' static int' ELSE ' struct y' END, CASE WHEN o_orderkey % 9 < 4 THEN ' return 0' ELSE '' END) AS base_response,
+       concat(CASE WHEN o_orderkey % 5 < 4 THEN 'diff --git a b --- +++' ELSE 'prose' END, repeat(concat(chr(10), ' x'), CAST(o_orderkey % 4 AS INT)), ' free lock null rcu', CASE WHEN o_orderkey % 3 = 1 THEN concat(chr(9), 'struct ') ELSE '' END) AS tuned_response
+FROM orders
+"""
+
 TABLES = ("orders", "customer", "documents", "labels", "lineitem", "part")
 
 
-def _filled(sql: str, array: str, end: str, none: str) -> str:
-    return sql.replace("{array}", array).replace("{end}", end).replace("{none}", none)
+SQL = {"commits": COMMITS, "files": FILES, "raw_commits": RAW_COMMITS, "raw_deltas": RAW_DELTAS, "responses": RESPONSES}
+
+
+def _filled(name: str, array: str, end: str, none: str, string: str) -> str:
+    excluded = config.EXCLUDED_PREFIXES[0]
+    paths = " ".join(f"WHEN {i} THEN '{p.replace('{excluded}', excluded)}'" for i, (p, _, _) in enumerate(PATHS))
+    values = {"{array}": array, "{end}": end, "{none}": none, "{string}": string, "{maintainer}": next(iter(config.MAINTAINERS)).upper(), "{paths}": paths}
+    sql = SQL[name]
+    for mark, value in values.items():
+        sql = sql.replace(mark, value)
+    return sql
 
 
 def oracle(name: str) -> str:
     """A view as DuckDB SQL."""
-    return _filled({"commits": COMMITS, "files": FILES}[name], "[", "]", "CAST([] AS VARCHAR[])")
+    return _filled(name, "[", "]", "CAST([] AS VARCHAR[])", "VARCHAR")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view as a DataFrame. Tables are read by path, so nothing is registered in the catalog."""
-    sql = _filled({"commits": COMMITS, "files": FILES}[name], "array(", ")", "CAST(array() AS ARRAY<STRING>)")
+    sql = _filled(name, "array(", ")", "CAST(array() AS ARRAY<STRING>)", "STRING") + "\n"
     for t in TABLES:  # FROM/JOIN <table> <alias> becomes a path relation
         for word in ("FROM", "JOIN"):
-            for follow in (" ", ")"):
+            for follow in (" ", ")", "\n"):
                 sql = sql.replace(f"{word} {t}{follow}", f"{word} parquet.`{sf_dir}/{t}.parquet`{follow}")
     return spark.sql(sql)
