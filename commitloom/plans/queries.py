@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import diffs, paths
 from ..operators import chains, clean, context, derive, score, validate
-from . import export, reports, views
+from . import export, raw_queries, reports, views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -400,3 +400,8 @@ _query("alpaca_prompts", lambda c, f: export.alpaca(export.records(export.standa
        f"SELECT '### Instruction:' || chr(10) || instruction || CASE WHEN length(coalesce(input, '')) > 0 THEN chr(10) || chr(10) || '### Input:' || chr(10) || input ELSE '' END || chr(10) || chr(10) || '### Response:' || chr(10) AS prompt, output AS completion, commit_hash AS _commit_hash FROM ({_STANDARD.format(message=_strip(_MESSAGE), output='diff_hunk', where='true')})")
 QUERIES["chatml_conversations"] = lambda spark, sf_dir: export.chatml_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 ORACLE_SQL["chatml_conversations"] = "SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || coalesce(text, '') || '<|im_end|>', chr(10) ORDER BY turn, role, text) AS chat FROM conversations GROUP BY conv_id"
+
+# Raw rows, scoring by a model and comparison of models.
+raw_queries.scoring_sql(_WITH)
+QUERIES |= raw_queries.QUERIES
+ORACLE_SQL |= raw_queries.ORACLE_SQL

@@ -61,13 +61,13 @@ FROM (SELECT l.l_orderkey AS k, sha1(concat('c', l.l_orderkey)) AS commit_hash,
 RAW_COMMITS = """
 SELECT sha1(concat('c', o_orderkey)) AS commit_hash, o_orderkey AS k,
        concat(CASE WHEN o_orderkey % 3 = 0 THEN '  ' ELSE '' END, 'core: change of ', o_orderpriority, CASE WHEN o_orderkey % 4 = 0 THEN '  ' ELSE '' END,
-              CASE WHEN o_orderkey % 6 = 5 THEN '' ELSE concat(chr(10), chr(10), ' Work of ', o_clerk, chr(10),
+              CASE WHEN o_orderkey % 6 = 5 THEN '' ELSE concat(chr(10), chr(10), ' Work of ', o_orderstatus, chr(10),
                 CASE o_orderkey % 5 WHEN 0 THEN concat('Fixes: 12ab34cd56 ("x")', chr(10)) WHEN 1 THEN concat('fixes:  ABCDEF1 later', chr(10)) WHEN 2 THEN concat('Fixes: 12345', chr(10)) WHEN 3 THEN concat('  Fixes: 1234567', chr(10)) ELSE '' END,
                 'Signed-off-by: A <a@x>', chr(10), CASE WHEN o_orderkey % 2 = 0 THEN concat('Signed-off-by:  B <b@x>', chr(10)) ELSE '' END,
                 CASE WHEN o_orderkey % 7 = 0 THEN concat('Reviewed-by: R <r@x> # twice', chr(10)) ELSE '' END, CASE WHEN o_orderkey % 11 = 0 THEN concat('Acked-by: K <k@x>', chr(10)) ELSE '' END, 'signed-off-by: lower', chr(10), chr(10)) END) AS message,
-       CASE WHEN o_orderkey % 13 = 0 THEN '' WHEN o_orderkey % 13 = 1 THEN NULL ELSE o_clerk END AS author_name,
+       CASE WHEN o_orderkey % 13 = 0 THEN '' WHEN o_orderkey % 13 = 1 THEN NULL ELSE o_orderstatus END AS author_name,
        CASE WHEN o_orderkey % 13 = 1 THEN NULL ELSE 'a@x' END AS author_email,
-       CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_clerk END AS committer_name, CAST(NULL AS {string}) AS committer_email,
+       CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_orderstatus END AS committer_name, CAST(NULL AS {string}) AS committer_email,
        CAST(1000000000 + o_orderkey AS BIGINT) AS author_time, CAST(1000000100 + o_orderkey AS BIGINT) AS commit_time,
        CASE WHEN o_orderkey % 7 = 0 THEN {array}'p', 'q'{end} WHEN o_orderkey % 7 = 1 THEN {none} ELSE {array}'p'{end} END AS parents
 FROM orders
@@ -82,7 +82,7 @@ RAW_DELTAS = """
 SELECT sha1(concat('c', l_orderkey)) AS commit_hash, l_linenumber AS n, s AS status, l_suppkey % 10 AS which,
        CASE WHEN s = 'A' THEN NULL WHEN s IN ('R', 'C') THEN concat('old/', l_linenumber, '/', path) ELSE path END AS old_path,
        CASE WHEN s = 'D' THEN NULL ELSE path END AS new_path,
-       CASE WHEN l_shipmode = 'AIR' THEN true WHEN l_shipmode = 'RAIL' THEN NULL ELSE false END AS is_binary,
+       CASE WHEN l_returnflag = 'R' THEN true WHEN l_returnflag = 'A' THEN NULL ELSE false END AS is_binary,
        CASE WHEN l_tax = 0 THEN NULL ELSE concat('--- a/', path, chr(10), '+++ b/', path, chr(10), '@@ -1 +1,2 @@', chr(10), repeat(concat('-old', chr(10)), CAST(l_quantity AS INT) % 3), repeat(concat('+new', chr(10)), CAST(l_quantity AS INT) % 5)) END AS patch,
        CASE WHEN s = 'A' THEN NULL ELSE 'before' END AS code_before, CASE WHEN s = 'D' THEN NULL ELSE 'after' END AS code_after
 FROM (SELECT *, CASE l_linenumber % 6 WHEN 0 THEN 'A' WHEN 1 THEN 'M' WHEN 2 THEN 'D' WHEN 3 THEN 'R' WHEN 4 THEN 'C' ELSE 'T' END AS s, CASE l_suppkey % 10 {paths} END AS path FROM lineitem) x

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,12 +63,12 @@ def read_json_lines(spark: SparkSession, path: str, columns: str = EXAMPLE) -> D
 
 
 def missing_fields(spark: SparkSession, path: str, required: tuple[str, ...] = ("instruction", "output")) -> DataFrame:
-    """line, fault: each line that is no JSON object or lacks a field."""
-    lines = spark.read.text(path).where(F.trim("value") != "").select(F.col("value").alias("line"), F.from_json("value", "map<string,string>").alias("fields"))
+    """number, line, fault: each line of a file that is no JSON object or lacks a field."""
+    lines = numbered_lines(spark, path).where(F.trim("line") != "").select("number", "line", F.from_json("line", "map<string,string>").alias("fields"))
     fault = F.when(F.col("fields").isNull(), F.lit("Invalid JSON"))
     for f in required:
         fault = fault.when(~F.coalesce(F.map_contains_key("fields", f), F.lit(False)), F.lit(f"missing {f}"))
-    return lines.select("line", fault.alias("fault")).where("fault IS NOT NULL")
+    return lines.select("number", "line", fault.alias("fault")).where("fault IS NOT NULL")
 
 
 def write_json_lines(rows: DataFrame, path: str, files: int | None = None) -> None:
@@ -76,8 +76,13 @@ def write_json_lines(rows: DataFrame, path: str, files: int | None = None) -> No
     (rows.coalesce(files) if files else rows).write.mode("overwrite").json(path)
 
 
-def write_by_subsystem(rows: DataFrame, path: str, column: str = "subsystem") -> None:
-    """One folder for each subsystem in one pass, '/' written as '_'; rows are rebalanced, so a large subsystem gets many files."""
+def write_by_subsystem(rows: DataFrame, path: str, column: str = "subsystem", limit: int | None = None, order: tuple[str, ...] = ()) -> None:
+    """One folder for each subsystem in one pass, '/' written as '_'; rows are rebalanced, so a large subsystem gets many files.
+
+    With a limit, the first `limit` rows of each subsystem by `order`; Spark drops the others before the shuffle.
+    """
+    if limit is not None:
+        rows = rows.withColumn("_turn", F.row_number().over(Window.partitionBy(column).orderBy(*order))).where(F.col("_turn") <= limit).drop("_turn")
     named = rows.withColumn("_folder", F.replace(F.col(column), F.lit("/"), F.lit("_")))
     named.hint("rebalance", "_folder").write.mode("overwrite").partitionBy("_folder").json(path)
 
@@ -111,3 +116,52 @@ def history_union(*histories: DataFrame, grafts: DataFrame | None = None) -> Dat
     return rows
 
 
+def lookup(rows: DataFrame, value: str, key: str = "commit_hash") -> DataFrame:
+    """The rows of one key: the filter reaches the scan."""
+    return rows.where(F.col(key) == value)
+
+
+def inspect(commits: DataFrame, files: DataFrame, order: list[str], n: int, peeks: dict[str, tuple[int, int]] | None = None, key: str = "commit_hash") -> DataFrame:
+    """The first n rows of a join; of the columns in peeks only (head, tail) characters are shown."""
+    rows = commits.join(files, key).orderBy(*order).limit(n)
+    shown = []
+    for c in rows.columns:
+        if peeks and c in peeks:
+            head, tail = peeks[c]
+            shown += [F.substring(c, 1, head).alias(f"{c}_head"), F.right(F.col(c), F.lit(tail)).alias(f"{c}_tail")]
+        else:
+            shown.append(F.col(f"`{c}`"))
+    return rows.select(*shown)
+
+
+def first_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The first n lines of one text file, in order."""
+    return numbered_lines(spark, path).where(F.col("number") <= n)
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """number (from 1) and line of one text file: counts of each part of the file, then an offset for each."""
+    parts = spark.read.text(path).select(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    counts = parts.groupBy("part").agg(F.count("*").alias("n"), F.min("at").alias("from"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("from").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row for each part
+    return parts.join(counts.select("part", "from", before.alias("before")), "part").select((F.col("at") - F.col("from") + F.col("before") + 1).alias("number"), "line")
+
+
+def batches(rows: DataFrame, size: int = 10_000):
+    """Rows in lists of `size`, partition after partition: the driver holds one partition at a time."""
+    held = []
+    for row in rows.toLocalIterator(prefetchPartitions=True):
+        held.append(row)
+        if len(held) == size:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
+def counted(rows: DataFrame, name: str = "written") -> tuple[DataFrame, Observation]:
+    """rows with a count and a byte count that a write leaves in the observation, without a second pass."""
+    seen = Observation(name)
+    size = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, t in rows.dtypes if t == "string"), F.lit(0))
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")), seen
+
