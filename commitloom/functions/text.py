@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,7 +40,29 @@ def prefix(c: Column, n: int) -> Column:
 
 
 def any_word(words: tuple[str, ...]) -> str:
-    return r"(?i)\b(" + "|".join(words) + r")\b"
+    return r"\b(" + "|".join(words) + r")\b"
+
+
+def literal_heads(pattern: str) -> list[str]:
+    """Lower-case text that any match of a pattern, one group of alternatives, begins with; [] if some alternative has none."""
+    group = re.fullmatch(r"(?:\\b|\^)?\(?(.*?)\)?(?:\\b)?", pattern, re.S)[1]
+    heads = [re.match(r"[^\\\[\](){}.*+?^$|]*", part)[0].lower() for part in group.split("|")]
+    return [] if any(len(h) < 2 for h in heads) else heads
+
+
+def matches(c: Column, pattern: str, low: Column | None = None) -> Column:
+    """c holds a match of `pattern`, ASCII case aside. Byte searches for its literal heads spare most texts the regex.
+
+    `low` is c in lower case, if that is known already.
+    """
+    found = c.rlike("(?i)" + pattern)
+    heads = literal_heads(pattern)
+    if not heads:
+        return found
+    some, low = F.lit(False), F.lower(c) if low is None else low
+    for h in dict.fromkeys(heads):
+        some = some | low.contains(h)
+    return some & found
 
 
 def cut_with_marker(c: Column, n: int, marker: str) -> Column:

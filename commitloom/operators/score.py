@@ -25,8 +25,8 @@ def heuristic_score(weights: dict[str, int] = config.WEIGHTS) -> Column:
         (_some("acked_by"), "acked_by"),
         (F.coalesce(F.col("fixes_hash"), F.lit("")) != "", "fixes_tag"),
         (message_length > 200, "long_message"),
-        (F.col("body").rlike(text.any_word(config.RATIONALE_WORDS)), "has_rationale"),
-        (F.col("subject").rlike(text.any_word(config.TRIVIAL_WORDS)), "trivial_subject"),
+        (text.matches(F.col("body"), text.any_word(config.RATIONALE_WORDS)), "has_rationale"),
+        (text.matches(F.col("subject"), text.any_word(config.TRIVIAL_WORDS)), "trivial_subject"),
         (files.between(1, 5), "optimal_size"),
         (files > 20, "too_many_files"),
     ]
@@ -44,11 +44,12 @@ def with_score(commits: DataFrame, only_missing: bool = False) -> DataFrame:
     return commits.withColumn("heuristic_score", score)
 
 
-def flags() -> Column:
-    message = F.concat(F.col("subject"), F.lit("\n"), F.col("body"))
+def flags(subject: Column, message: Column) -> Column:
+    """Bits of the rules that match; subject and message are structs of a text and the same in lower case."""
     total = F.lit(0)
     for bit, tag, pattern in config.TAG_RULES:
-        total = total + F.when((F.col("subject") if tag in config.SUBJECT_TAGS else message).rlike("(?i)" + pattern), bit).otherwise(0)
+        where = subject if tag in config.SUBJECT_TAGS else message
+        total = total + F.when(text.matches(where["text"], pattern, where["low"]), bit).otherwise(0)
     return total
 
 
@@ -57,9 +58,15 @@ def tag_names(bits: Column) -> Column:
 
 
 def commit_tags(commits: DataFrame) -> DataFrame:
-    """commit_hash, flags, tags of the commits that have any."""
-    rows = commits.select("commit_hash", flags().alias("flags")).where(F.col("flags") > 0)
-    return rows.withColumn("tags", tag_names(F.col("flags")))
+    """commit_hash, flags, tags of the commits that have any.
+
+    The rules run inside a generator, which the optimizer neither copies into filters nor into every use of the flags.
+    """
+    both = lambda c: F.struct(c.alias("text"), F.lower(c).alias("low"))
+    texts = F.array(F.struct(both(F.col("subject")).alias("subject"), both(F.concat(F.col("subject"), F.lit("\n"), F.col("body"))).alias("message")))
+    bits = F.transform(texts, lambda t: F.coalesce(flags(t["subject"], t["message"]), F.lit(0)))
+    named = F.transform(F.filter(bits, lambda b: b > 0), lambda b: F.struct(b.alias("flags"), tag_names(b).alias("tags")))
+    return commits.select("commit_hash", F.inline(named))
 
 
 def author_expertise(commits: DataFrame, maintainers: dict[str, int] = config.MAINTAINERS) -> DataFrame:

@@ -41,10 +41,11 @@ def standard(commits: DataFrame, files: DataFrame, tags: DataFrame | None = None
             c = c.where(F.array_contains("tags", t))
         for t in cfg.exclude_tags:
             c = c.where(~F.array_contains("tags", t))
-    rows = f.join(c, "commit_hash")
+    # Messages are stripped once for each commit, not for each of its files.
+    rows = f.join(c.select("commit_hash", "commit_date", text.strip(message()).alias("instruction")), "commit_hash")
     if cfg.sample is not None:
         rows = rows.where(hash_fraction("commit_hash", "file_path", seed=cfg.seed) < cfg.sample)
-    rows = rows.select("commit_date", "commit_hash", "file_path", "subsystem", "lines_changed", text.strip(message()).alias("instruction"), F.col("code_before").alias("input"), output.alias("output"))
+    rows = rows.select("commit_date", "commit_hash", "file_path", "subsystem", "lines_changed", "instruction", F.col("code_before").alias("input"), output.alias("output"))
     rows = rows.where((F.length("instruction") > 0) & (F.coalesce("output", F.lit("")) != ""))
     order = ["commit_date", "commit_hash", "file_path"]
     return rows.orderBy(*order).limit(cfg.limit) if cfg.limit else rows
@@ -139,8 +140,9 @@ def tier(commits: DataFrame, files: DataFrame, t: config.Tier) -> DataFrame:
 
 
 def cleaned(rows: DataFrame, strict: bool) -> DataFrame:
-    """instruction, input and output cleaned and the reason if invalid; rows hold subject, body, code_before, diff_hunk."""
-    made = rows.withColumn("instruction", clean.instruction(message())).withColumn("input", clean.source_for(F.col("code_before"), F.col("diff_hunk"))).withColumn("output", clean.output(F.col("diff_hunk")))
+    """instruction, input and output cleaned and the reason if invalid; rows hold instruction or subject and body, code_before, diff_hunk."""
+    made = rows if "instruction" in rows.columns else rows.withColumn("instruction", clean.instruction(message()))
+    made = made.withColumn("input", clean.source_for(F.col("code_before"), F.col("diff_hunk"))).withColumn("output", clean.output(F.col("diff_hunk")))
     return validate.with_reason(made, strict)
 
 
@@ -184,7 +186,7 @@ def subsystem_counts(records_: DataFrame) -> DataFrame:
 def hub_tier(commits: DataFrame, files: DataFrame, t: config.Tier) -> DataFrame:
     """A hub tier: all .c and .h files of its commits, cleaned; a reason of more than 10 bytes is asked for."""
     wanted = tier_commits(commits, t).where((text.byte_length(F.coalesce("ai_score_reason", F.lit(""))) > 10) & ~F.coalesce(F.col("ai_quality_score") <= -1, F.lit(False)))
-    wanted = wanted.select("commit_hash", "subject", "body", "heuristic_score", "ai_quality_score", "ai_score_reason")
+    wanted = wanted.select("commit_hash", clean.instruction(message()).alias("instruction"), "heuristic_score", "ai_quality_score", "ai_score_reason")
     f = window_of(files, config.MIN_OUTPUT, config.MAX_OUTPUT).where(F.col("file_extension").isin(*config.CODE_EXTENSIONS)).select("commit_hash", "file_path", "code_before", "diff_hunk", "subsystem")
     rows = cleaned(wanted.join(f, "commit_hash"), t.strict).where("reason IS NULL")
     extra = [F.col("ai_quality_score").alias("quality_score"), F.col("ai_score_reason").alias("quality_reason")] if t.reasoning else []

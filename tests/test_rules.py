@@ -56,8 +56,9 @@ def test_heuristic_score(spark, row):
     [("drm: fix use-after-free in foo", "Fixes a race condition and cleanup", 21), ('Revert "mm: speed up alloc"', "This reverts commit 0123456789abcdef", 66), ("x86: update", "(cherry picked from commit abc)", 32), ("plain", "nothing here", 0), ("usb: CVE-2020-1234 doc", "-", 25)],
 )
 def test_tags(spark, subject, body, bits):
-    df = spark.createDataFrame([(subject, body)], "subject string, body string")
-    assert df.select(score.flags()).first()[0] == bits
+    df = spark.createDataFrame([("c", subject, body)], "commit_hash string, subject string, body string")
+    got = score.commit_tags(df).first()
+    assert (got["flags"] if got else 0) == bits
 
 
 def test_trailers(spark):
