@@ -6,8 +6,8 @@ two chunks share a pre-token boundary in their overlap they agree from there on:
 chunk takes over. Only boundaries behind a non-space character count, since there the look-ahead ``\s+(?!\S)`` of the pattern
 can't reach across. Chunks between which nothing resynchronises become one piece, which is pre-tokenised again from where it
 starts; its end is compared with the next chunk, and so on until every cut resynchronises. So a piece is about as long as a
-chunk or as its longest pre-token. Pieces are then encoded, and their ids and bytes concatenated in order; decoding
-concatenates the raw bytes of the ids.
+chunk or as its longest pre-token. Pieces are then encoded and their ids concatenated in order; decoding concatenates
+the raw bytes of the ids, once a text's ids are together, so only ids are shuffled.
 
 The chunk table is written to the shared folder in small row groups: rows keep their key if an executor is lost, and any
 task can read a part of a text, so the cut itself needs no shuffle. Boundaries are stitched without texts.
@@ -47,15 +47,21 @@ def _finder(pattern: str):
     return regex.compile(pattern).finditer
 
 
-def _coded(codec, text: str, find) -> tuple[bytes, bytes]:
-    """Ids as little-endian unsigned 32-bit integers, and what they decode to; `find` is the pattern's finditer."""
+def _ids(codec, text: str, find) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers; `find` is the pattern's finditer."""
     import numpy as np
 
     if len(text) <= LONG:
         ids = codec.encode_ordinary(text)
     else:
         ids = [i for m in find(text) for i in codec._encode_single_piece(m.group().encode())]
-    return np.asarray(ids, "<u4").tobytes(), codec.decode_bytes(ids)
+    return np.asarray(ids, "<u4").tobytes()
+
+
+def _decoded(codec, ids: bytes) -> bytes:
+    import numpy as np
+
+    return codec.decode_bytes(np.frombuffer(ids, "<u4").tolist())
 
 
 def boundaries(text: str, find) -> list[int]:
@@ -123,8 +129,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, chunk: int
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, find = _codec(sent.value, pattern), _finder(pattern)
         for batch in batches:
-            done = [_coded(codec, t, find) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([d[0] for d in done], pa.binary()), pa.array([d[1] for d in done], pa.binary())], ["doc_id", "ids", "decoded"])
+            ids = [_ids(codec, t, find) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array([_decoded(codec, i) for i in ids], pa.binary())], ["doc_id", "ids", "decoded"])
 
     long = F.length("text") > chunk
     short = rows.where(~long).mapInArrow(whole, f"doc_id {kind}, ids binary, decoded binary")
@@ -143,10 +149,13 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, chunk: int
     parts = shared.materialise(parts, "bpe-chunks", block_mb=4)
 
     pieces = _stitched(parts, pattern, chunk, overlap)
-    spread = pieces.select("key", "first", "since", "until", F.explode(F.sequence("first", "last")).alias("part"))
-    texts = parts.join(spread.hint("shuffle_hash"), ["key", "part"]).groupBy("key", F.col("first").alias("piece")).agg(
-        F.first("doc_id").alias("doc_id"), F.first("since").alias("since"), F.first("until").alias("until"), F.sort_array(F.collect_list(F.struct("part", "text"))).alias("texts")
+    spread = pieces.select("key", "first", "last", "since", "until", F.explode(F.sequence("first", "last")).alias("part"))
+    met = parts.join(spread.hint("shuffle_hash"), ["key", "part"]).select("key", F.col("first").alias("piece"), "last", "doc_id", "since", "until", F.struct("part", "text").alias("chunk"))
+    texts = met.where(F.col("piece") == F.col("last")).select("key", "piece", "doc_id", "since", "until", F.array("chunk").alias("texts"))
+    wide = met.where(F.col("piece") < F.col("last")).groupBy("key", "piece").agg(
+        F.first("doc_id").alias("doc_id"), F.first("since").alias("since"), F.first("until").alias("until"), F.sort_array(F.collect_list("chunk")).alias("texts")
     )
+    texts = texts.unionByName(wide)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, find = _codec(sent.value, pattern), _finder(pattern)
@@ -155,13 +164,19 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, chunk: int
             for since, until, texts in zip(*(batch.column(c).to_pylist() for c in ("since", "until", "texts")), strict=True):
                 at = texts[0]["part"] * chunk
                 text = _whole(texts, chunk)
-                done.append(_coded(codec, text[since - at : None if until is None else until - at], find))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), batch.column("piece"), *(pa.array([d[k] for d in done], pa.binary()) for k in (0, 1))], ["key", "doc_id", "piece", "ids", "decoded"])
+                done.append(_ids(codec, text[since - at : None if until is None else until - at], find))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), batch.column("piece"), pa.array(done, pa.binary())], ["key", "doc_id", "piece", "ids"])
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(sent.value, pattern)
+        for batch in batches:
+            raw = [_decoded(codec, ids) for ids in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(raw, pa.binary())], ["doc_id", "ids", "decoded"])
 
-    encoded = texts.mapInArrow(coded, f"key long, doc_id {kind}, piece int, ids binary, decoded binary")
-    ordered = encoded.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("piece", "ids", "decoded"))).alias("all"))
-    joined = [F.unhex(F.array_join(F.transform("all", lambda x: F.hex(x[name])), "")).alias(name) for name in ("ids", "decoded")]
-    return short.unionByName(ordered.select("doc_id", *joined))
+    encoded = texts.mapInArrow(coded, f"key long, doc_id {kind}, piece int, ids binary")
+    ordered = encoded.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("piece", "ids"))).alias("all"))
+    joined = ordered.select("doc_id", F.unhex(F.array_join(F.transform("all", lambda x: F.hex(x["ids"])), "")).alias("ids"))
+    return short.unionByName(joined.mapInArrow(decoded, f"doc_id {kind}, ids binary, decoded binary"))
 
 
 def digests(encoded: DataFrame) -> DataFrame:
