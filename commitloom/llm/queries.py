@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, embedding_neardup, line_dedup, media_copies, mixing, ngram_join, secret_scan, sharding, token_count, toxicity
+from . import bpe_codec, embedding_neardup, fill_in_middle, line_dedup, media_copies, mixing, ngram_join, packing, secret_scan, sharding, spelling, token_count, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +55,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.transform(_documents(spark, sf_dir)))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.vocabulary(_documents(spark, sf_dir), slip=31))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_embedding_neardup": op2_embedding_neardup,
@@ -66,6 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_count": op8_token_count,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_toxicity": op10_toxicity,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_packing": op12_packing,
+    "op13_spelling": op13_spelling,
 }
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
@@ -136,4 +151,17 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * co
 FROM (SELECT g.*, certain + CASE WHEN rank IS NOT NULL AND (taken OR (best.r = rank AND best.d IS NOT DISTINCT FROM g.doc_id AND best.u = g.u)) THEN 1 ELSE 0 END AS copies FROM gaps g LEFT JOIN close c ON g.source IS NOT DISTINCT FROM c.source)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_embedding_neardup": _OP2, "op4_ngram_join": _OP4, "op5_secret_scan": _OP5, "op6_mixing": _OP6}
+_OP11 = """
+WITH hashed AS (SELECT doc_id, coalesce(text, '') AS t, sha256(concat('1:', doc_id)) AS g FROM documents),
+drawn AS (SELECT doc_id, t, length(t) AS n, CAST('0x' || substr(g, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(g, 9, 8) AS BIGINT) AS h2,
+                 CAST('0x' || substr(g, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(g, 25, 8) AS BIGINT) AS h4 FROM hashed),
+cut AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+               CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle) ELSE concat('<S>', suffix, '<P>', prefix, '<M>', middle) END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_embedding_neardup": _OP2, "op4_ngram_join": _OP4, "op5_secret_scan": _OP5, "op6_mixing": _OP6, "op11_fill_in_middle": _OP11}
