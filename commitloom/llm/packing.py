@@ -20,8 +20,9 @@ The plan says which ranks within a length go to which sequence and offset; its s
 Ranks are counted on the cluster, by length and salt, so that a length that a third of all pieces share is split; each piece finds
 its place by a binary search.
 
-White space separates tokens in vocabularies with word ends: a text is split at blanks, known words are looked up in a map of
-at most ``CACHE`` entries, new ones encoded by the library. `separable` says whether a tokenizer allows this; else texts go in whole.
+White space separates tokens in vocabularies with word ends: a text is split at blanks and known words are looked up in a map of
+at most ``CACHE`` entries. Of a new word of letters and signs the library's model gets the two parts; any other goes through
+the whole library. `separable` says whether a tokenizer allows this; else texts go in whole.
 
 Defined cases: null text counts as empty and is one piece that holds the end token; repeated rows and ids are separate documents;
 null ids and ids of any type pass through; other columns are ignored; empty input gives empty output.
@@ -30,14 +31,17 @@ null ids and ids of any type pass through; other columns are ignored; empty inpu
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shared
+from .token_count import byte_symbols
 
 LIMIT = 4096
 RATES = (0.05, 1.0, 8.0)
@@ -45,55 +49,72 @@ CLOSE = 0.001
 STEPS = 8192
 DRAWN = 64
 SEED = 4096
-CACHE = 1_000_000
+CACHE = 400_000
 KNOWN = 64
 STRETCH = 1 << 20
 FLUSH = 1 << 21
 SALTED = 50_000
-_WORDS: dict[str, dict[str, bytes]] = {}
+#: Letters of which neither composition nor the vocabulary's bytes need a look around, then signs but for the apostrophe.
+SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 
 
 def separable(spec: dict) -> bool:
-    """Whether ids of a text are those of its blank-separated parts: blanks only divide pre-tokens and are removed."""
-    split = [p for p in (spec.get("pre_tokenizer") or {}).get("pretokenizers", []) if p["type"] == "Split"]
-    pattern = split[0]["pattern"].get("Regex", "") if split else ""
-    removed = bool(split) and split[0]["behavior"] == "Removed" and split[0]["invert"] and r"[^\s\p{L}\p{N}]+" in pattern and " " not in pattern
-    plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in spec.get("added_tokens", []))
-    return removed and plain and spec.get("post_processor") is None and not spec.get("truncation") and not spec.get("padding")
-
-
-class Encoder:
-    """Ids of texts, little-endian unsigned 32-bit, by the tokenizers library and a bounded map of words."""
+    """Whether ids of a text are those of its blank-separated parts, and runs of letters and of signs in them are pre-tokens."""
+    before, cut, model = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, spec["model"]
+    kinds = [[n["type"] for n in before.get("normalizers", [])], [p["type"] for p in cut.get("pretokenizers", [])]]
+    if kinds != [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] or model["type"] != "BPE":
+        return False
+    split, bytes_ = cut["pretokenizers"]
+    pattern = split["pattern"].get("Regex", "")
+    removed = split["behavior"] == "Removed" and split["invert"] and {r"[\p{L}]+", r"[^\s\p{L}\p{N}]+"} <= set(pattern.split("|")) and all(a in (r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+") or a[0] == "'" for a in pattern.split("|"))
+    blanks = before["normalizers"][1] == {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] or SIMPLE.fullmatch(t["content"]) for t in spec.get("added_tokens", []))
+    return removed and blanks and plain and not (bytes_["add_prefix_space"] or bytes_["use_regex"] or spec.get("post_processor") or spec.get("truncation") or spec.get("padding"))
+
+
+class Encoder(dict):
+    """Ids of texts, little-endian unsigned 32-bit, by the tokenizers library; a dict of words so that known ones cost one lookup."""
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.library = Tokenizer.from_str(spec)
+        self.model = self.library.model
         self.split = separable(json.loads(spec))
-        self.known = _WORDS.setdefault(str(hash(spec)), {})
+        symbols = byte_symbols()
+        self.symbols = {c: "".join(symbols[x] for x in chr(c).encode()) for c in range(0xC0, 0x100)}
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, text: str) -> bytes:
         import numpy as np
 
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """A pre-token: the model alone gives its ids."""
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(piece.translate(self.symbols))])
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHE:
+            self.clear()
+        simple = SIMPLE.fullmatch(word)
+        if not simple:
+            ids = self._whole(word)
+        else:
+            letters, signs = simple.groups()
+            ids = (self.get(letters) or self._piece(letters.lower())) if letters else b""
+            if signs:
+                ids += self.get(signs) or self._piece(signs)
+        if len(word) <= KNOWN:
+            self[word] = ids
+        return ids
 
     def _words(self, text: str) -> bytes:
-        words, known = text.replace("\n", " ").split(" "), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = list(dict.fromkeys(words))
-        own = dict(zip(new, self._encoded(new), strict=True))
-        known.update((w, ids) for w, ids in own.items() if len(w) <= KNOWN)
-        return b"".join([own[w] if w in own else known[w] for w in words])
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
     def ids(self, text: str) -> bytes:
         if not self.split:
-            return self._encoded([text])[0]
+            return self._whole(text)
         parts, at = [], 0
         while len(text) - at > STRETCH and (stop := text.find(" ", at + STRETCH)) >= 0:
             parts.append(self._words(text[at:stop]))
@@ -101,6 +122,12 @@ class Encoder:
         return b"".join([*parts, self._words(text[at:])])
 
 
+@lru_cache(1)
+def encoder_for(spec: str) -> Encoder:
+    """A worker keeps its words from task to task."""
+    return Encoder(spec)
+
+
 def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int, limit: int = LIMIT) -> DataFrame:
     """doc_id, row (unique), piece, start, length and ids (binary, little-endian unsigned 32-bit) of every piece; written."""
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -111,7 +138,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int, limit: int = LI
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        encoder, end = Encoder(sent.value), np.array([end_id], "<u4").tobytes()
+        encoder, end = encoder_for(sent.value), np.array([end_id], "<u4").tobytes()
         names = ["doc_id", "piece", "start", "length", "ids"]
         for batch in batches:
             at, piece, start, length, ids, held = [], [], [], [], [], 0
