@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import diffs, paths
 from ..operators import chains, clean, context, derive, score, validate
-from . import export, raw_queries, reports, views
+from . import export, raw_queries, reports, tree_queries, views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -403,5 +403,5 @@ ORACLE_SQL["chatml_conversations"] = "SELECT conv_id, string_agg('<|im_start|>'
 
 # Raw rows, scoring by a model and comparison of models.
 raw_queries.scoring_sql(_WITH)
-QUERIES |= raw_queries.QUERIES
-ORACLE_SQL |= raw_queries.ORACLE_SQL
+QUERIES |= raw_queries.QUERIES | tree_queries.QUERIES
+ORACLE_SQL |= raw_queries.ORACLE_SQL | tree_queries.ORACLE_SQL

@@ -97,10 +97,32 @@ SELECT CAST(o_orderkey AS INT) AS id, CASE o_orderkey % 6 WHEN 0 THEN 'Bug Fix'
 FROM orders
 """
 
+#: A history of blocks of 50 commits with skewed times; every ninth merges the commit six before its parent.
+HISTORY = """
+SELECT sha1(concat('c', o_orderkey)) AS commit_hash, o_orderkey AS k, CAST(1000000000 + o_orderkey * 10 - (o_orderkey * 37) % 101 * 3 AS BIGINT) AS commit_time,
+       CASE WHEN o_orderkey % 50 = 0 THEN {none} WHEN o_orderkey % 9 = 0 AND o_orderkey % 50 >= 7 THEN {array}sha1(concat('c', o_orderkey - 1)), sha1(concat('c', o_orderkey - 7)){end} ELSE {array}sha1(concat('c', o_orderkey - 1)){end} END AS parents
+FROM orders
+"""
+
+#: All files of each commit. A code names the content: five lines by its first digit, four by the second, one by the third.
+SNAPSHOTS = """
+SELECT sha1(concat('c', l_orderkey)) AS commit_hash, l_orderkey AS k, path, min(code) AS code, sha1(min(code)) AS blob
+FROM (SELECT l_orderkey, concat('d', l_linenumber % 3, CASE WHEN l_linenumber > 4 THEN '/sub' ELSE '' END, '/f', l_linenumber, '_', l_returnflag, '.c') AS path,
+             concat(l_suppkey % 3, l_partkey % 3, CAST(l_quantity AS INT) % 4) AS code FROM lineitem) x
+GROUP BY l_orderkey, path
+"""
+
+CONTENTS = """
+SELECT DISTINCT sha1(code) AS blob, code,
+       concat('mode ', m, ' line 1', chr(10), 'mode ', m, ' line 2', chr(10), 'mode ', m, ' line 3', chr(10), 'mode ', m, ' line 4', chr(10), 'mode ', m, ' line 5', chr(10),
+              'part ', p, ' line 1', chr(10), 'part ', p, ' line 2', chr(10), 'part ', p, ' line 3', chr(10), 'part ', p, ' line 4', chr(10), 'last ', q, chr(10)) AS content
+FROM (SELECT concat(l_suppkey % 3, l_partkey % 3, CAST(l_quantity AS INT) % 4) AS code, l_suppkey % 3 AS m, l_partkey % 3 AS p, CAST(l_quantity AS INT) % 4 AS q FROM lineitem) x
+"""
+
 TABLES = ("orders", "customer", "documents", "labels", "lineitem", "part")
 
 
-SQL = {"commits": COMMITS, "files": FILES, "raw_commits": RAW_COMMITS, "raw_deltas": RAW_DELTAS, "responses": RESPONSES}
+SQL = {"commits": COMMITS, "files": FILES, "raw_commits": RAW_COMMITS, "raw_deltas": RAW_DELTAS, "responses": RESPONSES, "history": HISTORY, "snapshots": SNAPSHOTS, "contents": CONTENTS}
 
 
 def _filled(name: str, array: str, end: str, none: str, string: str) -> str:
