@@ -1,22 +1,22 @@
 r"""Line dedup by winnowing over line hashes (native).
 
 Lines are trimmed and hashed; blank ones are never counted or deleted. A *unit* is the fewest consecutive lines from one on
-that hold ``NOISE`` words, a *window* the fewest that hold ``SURE`` words. Of the units that end within a window the one of
-least hash is a fingerprint. What a window selects depends on its lines alone, so two texts that share a run of ``SURE`` words
-or more share a fingerprint, and no match is shorter than a unit.
+that hold ``NOISE`` words, a *window* the fewest that hold ``SURE`` words, ahead from a line or back from it. Of the units that end
+within a window ahead the one of least hash is a fingerprint. What a window selects depends on its lines alone, so two texts that
+share a run of ``SURE`` words or more share a fingerprint.
 
-Of the places of a fingerprint one, chosen by hash, is the pivot; the others are joined with it, never with each other, and
-compared with it both ways. Two places that leave the pivot after different numbers of lines share the lesser number; those
-that leave it after as many and with the same next line share more and form a group of their own, once for each way, round by
-round until no group has two. So each place gets the most lines that it shares, each way, with any earlier place (by document
-id and line), and these are deleted; a deleted line thus always has an equal line earlier on. Pivots by hash keep the rounds
-few where lines repeat many times over.
+Places of equal fingerprints are joined, and the documents of those that occur more than once go on. There matches are extended both
+ways, window by window: a window ahead or back that equals one at an earlier place (by document id and line) repeats it, and the
+windows of a repeated run reach from its first line (ahead) to its last (back) and over all between. So exactly the lines of runs of
+``SURE`` words or more that occur earlier are deleted, by one grouping, however often a run repeats; places of a window are only
+compared with the first of them, never with each other. A deleted line always has an equal line earlier on.
 
-Only line numbers and hashes are shuffled until the end, when texts meet the masks of those that change.
+Hashes of lines, documents, units and windows have 128 bits. Only line numbers and hashes are shuffled until the end, when texts meet
+the masks of those that change.
 
 Defined cases: a null text stays null; an empty text stays empty; rows that agree in id and text are one document and share
-the result; null ids come first in the order; texts of fewer than NOISE words are left alone; empty input gives empty output;
-other columns are kept and may have any name.
+the result; null ids come first in the order; texts of fewer than SURE words are left alone; empty input gives empty output;
+other columns are kept and may have any name: the count of deleted lines is n_deleted, with underscores before it if that is taken.
 """
 
 from __future__ import annotations
@@ -31,15 +31,20 @@ SURE = 50
 SEED = 90210
 
 
+def _hash(*columns: Column | str) -> Column:
+    """128 bits."""
+    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(SEED), *columns).alias("b"))
+
+
 def _document(text: Column) -> Column:
-    return F.xxhash64(F.lit(SEED), F.col("doc_id"), text)
+    return _hash(F.col("doc_id"), text)
 
 
 def line_table(docs: DataFrame) -> DataFrame:
     """doc (key of id and text), doc_id, pos, hash and words of every line."""
     text = F.col("text").cast("string")
     rows = docs.where(text.isNotNull()).select("doc_id", _document(text).alias("doc"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
-    return rows.select("doc_id", "doc", "pos", F.xxhash64(F.btrim("line", F.lit(" \t\r\x0b\x0c"))).alias("hash"), shared.n_words(F.col("line")).cast("int").alias("words"))
+    return rows.select("doc_id", "doc", "pos", _hash(F.btrim("line", F.lit(" \t\r\x0b\x0c"))).alias("hash"), shared.n_words(F.col("line")).cast("int").alias("words"))
 
 
 def _numbered(lines: DataFrame) -> DataFrame:
@@ -53,92 +58,55 @@ def fingerprints(numbered: DataFrame, noise: int = NOISE, sure: int = SURE) -> D
     """doc, doc_id, ln and unit of every selected unit."""
     ahead = Window.partitionBy("doc").orderBy("start")
     unit, window = ahead.rangeBetween(0, noise - 1), ahead.rangeBetween(0, sure - 1)
-    rows = numbered.withColumn("held", F.sum("words").over(unit)).withColumn("unit", F.when(F.col("held") >= noise, F.xxhash64(F.collect_list("hash").over(unit))))
+    rows = numbered.withColumn("held", F.sum("words").over(unit)).withColumn("unit", F.when(F.col("held") >= noise, _hash(F.collect_list("hash").over(unit))))
     rows = rows.withColumn("units", F.collect_list(F.when(F.col("unit").isNotNull(), F.struct("unit", "ln", (F.col("start") + F.col("held")).alias("until")))).over(window))
     rows = rows.withColumn("spans", F.sum("words").over(window)).where(F.col("spans") >= sure)
     least = F.array_min(F.filter("units", lambda u: u["until"] <= F.col("start") + F.col("spans")))
     return rows.select("doc_id", "doc", least.alias("least")).select("doc_id", "doc", "least.ln", "least.unit").distinct()
 
 
+def windows(numbered: DataFrame, sure: int = SURE) -> DataFrame:
+    """way (1 ahead, -1 back), key (of the lines), place (doc_id, doc, first) and last of every window."""
+    ahead = Window.partitionBy("doc").orderBy("start").rangeBetween(0, sure - 1)
+    back = Window.partitionBy("doc").orderBy("end").rangeBetween(-(sure - 1), 0)
+    rows = numbered.withColumn("end", F.col("start") + F.col("words"))
+    rows = rows.withColumn("ahead", F.when(F.sum("words").over(ahead) >= sure, F.struct(F.collect_list("hash").over(ahead).alias("lines"), F.col("ln").alias("first"), F.max("ln").over(ahead).alias("last"))))
+    rows = rows.withColumn("back", F.when(F.sum("words").over(back) >= sure, F.struct(F.collect_list("hash").over(back).alias("lines"), F.min("ln").over(back).alias("first"), F.col("ln").alias("last"))))
+    both = F.array(*(F.struct(F.lit(way).alias("way"), _hash(f"{name}.lines").alias("key"), F.col(f"{name}.first").alias("first"), F.col(f"{name}.last").alias("last")) for way, name in ((1, "ahead"), (-1, "back"))))
+    rows = rows.where("ahead IS NOT NULL OR back IS NOT NULL").select("doc_id", "doc", F.explode(both).alias("w")).where("w.first IS NOT NULL")
+    return rows.select("w.way", "w.key", F.struct("doc_id", "doc", "w.first").alias("place"), "w.last")
+
+
 def repeated_lines(docs: DataFrame, noise: int = NOISE, sure: int = SURE) -> tuple[DataFrame, DataFrame]:
     """The line table, and (doc, pos) of the lines to delete; both written."""
     lines = shared.materialise(line_table(docs), "lines")
     numbered = shared.materialise(_numbered(lines), "numbered-lines")
-    prints = shared.materialise(fingerprints(numbered, noise, sure), "fingerprints")
-    places = prints.select(F.col("unit").alias("group"), F.lit(0).alias("side"), "doc_id", "doc", "ln")
-    hashes, ranges, former = None, [], prints
-    while True:
-        pivots = places.groupBy("group").agg(F.min(F.struct(F.xxhash64("group", "doc", "ln").alias("by"), "doc_id", "doc", "ln")).alias("pivot"), F.count("*").alias("n")).where(F.col("n") > 1)
-        matches = places.join(pivots.drop("n"), "group").where((F.col("doc") != F.col("pivot.doc")) | (F.col("ln") != F.col("pivot.ln")))
-        matches = matches.select("group", "side", "doc_id", "doc", "ln", F.col("pivot.doc_id").alias("lead_id"), F.col("pivot.doc").alias("lead"), (F.col("pivot.ln") - F.col("ln")).alias("shift"))
-        matches = shared.materialise(matches, "line-matches", instead_of=(former,))
-        if hashes is None:  # later places are among these
-            used = matches.select("doc").unionByName(matches.select(F.col("lead").alias("doc"))).distinct()
-            hashes = numbered.join(used, "doc").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("ln", "hash"))).alias("own"))
-            hashes = shared.materialise(hashes.select("doc", F.col("own.hash").alias("own")), "line-hashes")
-        elif matches.isEmpty():
-            break
-        ways = F.array(*(F.struct(F.lit(side).alias("side"), length.alias("n"), line.alias("next")) for side, length, line in ((1, F.col("high") - F.col("ln"), F.col("after")), (-1, F.col("ln") - F.col("low"), F.col("before")))))
-        sides = _extended(matches, hashes).withColumn("way", F.explode(ways)).where(F.col("side") != -F.col("way.side"))
-        sides = sides.select("group", "way.*", F.struct("doc_id", "doc", "ln").alias("place"), F.struct(F.col("lead_id").alias("doc_id"), F.col("lead").alias("doc"), (F.col("ln") + F.col("shift")).alias("ln")).alias("pivot"))
-        sides = former = shared.materialise(sides, "extended-matches", instead_of=(matches,))
-        ranges.append(shared.materialise(_shared_before(sides), "repeated-ranges"))
-        places = sides.where("next is not null").select(F.xxhash64("group", "side", "n", "next").alias("group"), "side", "place.*")
-    found = ranges[0]
-    for other in ranges[1:]:
-        found = found.unionByName(other)
-    gone = found.distinct().select("doc", F.explode(F.sequence("low", "high")).alias("ln")).distinct()
-    gone = numbered.select("doc", "ln", "pos").join(gone, ["doc", "ln"]).select("doc", "pos")
-    return lines, shared.materialise(gone, "repeated-lines", instead_of=(matches, hashes, numbered, *ranges))
-
-
-def _shared_before(sides: DataFrame) -> DataFrame:
-    """doc, low, high: the most lines that each place, pivots too, is known by now to share with an earlier one.
-
-    sides: group, side, place, pivot and n, the lines that the two share. Of the places with equal n only the first needs a look
-    at the others: at the first places of all numbers, with the pivot as that of the largest.
-    """
-    levels = sides.groupBy("group", "side", "n").agg(F.min("place").alias("place"))
-    levels = levels.unionByName(sides.select("group", "side", F.lit(1 << 30).alias("n"), F.col("pivot").alias("place")).distinct())
-    every = levels.groupBy("group", "side").agg(F.collect_list(F.struct("n", "place")).alias("every"))
-    first = every.select("side", "every", F.explode("every").alias("own"))
-    most = F.array_max(F.transform(F.filter("every", lambda x: x["place"] < F.col("own.place")), lambda x: x["n"]))
-    first = first.select("side", F.col("own.place").alias("place"), F.when(most.isNotNull(), F.least("own.n", most)).alias("n")).where("n is not null")
-    least = levels.select("group", "side", "n", F.col("place").alias("least"))
-    later = sides.join(least, ["group", "side", "n"]).where(F.col("least") < F.col("place")).select("side", "place", "n")
-    ends = F.col("place.ln") + F.col("side") * F.col("n")
-    return first.unionByName(later).select("place.doc", F.least("place.ln", ends).alias("low"), F.greatest("place.ln", ends).alias("high")).distinct()
-
-
-def _extended(matches: DataFrame, hashes: DataFrame) -> DataFrame:
-    """matches with low and high, the lines to which they extend, and the hashes before and after these (null at the ends).
-
-    Matches of a document with the same leader at the same distance are compared together.
-    """
-    places = F.collect_list(F.struct("group", "side", "doc_id", "lead_id", "ln")).alias("places")
-    rows = matches.groupBy("doc", "lead", "shift").agg(places).join(hashes, "doc").join(hashes.select(F.col("doc").alias("lead"), F.col("own").alias("theirs")), "lead")
-    rows = rows.withColumn("from", F.greatest(F.lit(1), 1 - F.col("shift"))).withColumn("to", F.least(F.size("own"), F.size("theirs") - F.col("shift")))
-    unlike = F.filter(F.sequence("from", "to"), lambda i: F.get("own", i - 1) != F.get("theirs", i + F.col("shift") - 1))
-    rows = rows.select("doc", "lead", "shift", "own", "from", "to", unlike.alias("unlike"), F.explode("places").alias("p")).select("doc", "lead", "shift", "own", "from", "to", "unlike", "p.*")
-    rows = rows.where(~F.array_contains("unlike", F.col("ln")))
-    low = F.coalesce(F.array_max(F.filter("unlike", lambda i: i < F.col("ln"))), F.col("from") - 1) + 1
-    high = F.coalesce(F.array_min(F.filter("unlike", lambda i: i > F.col("ln"))), F.col("to") + 1) - 1
-    rows = rows.select("group", "side", "doc_id", "doc", "ln", "lead_id", "lead", "shift", "own", low.alias("low"), high.alias("high"))
-    at = lambda i: F.when(i >= 0, F.get("own", F.greatest(i, F.lit(0))))
-    return rows.select("group", "side", "doc_id", "doc", "ln", "lead_id", "lead", "shift", "low", "high", at(F.col("low") - 2).alias("before"), at(F.col("high")).alias("after"))
+    prints = shared.materialise(fingerprints(numbered, noise, sure).select("doc", "unit"), "fingerprints")
+    often = prints.groupBy("unit").agg(F.count("*").alias("n")).where("n > 1").select("unit")
+    used = shared.materialise(prints.join(often, "unit").select("doc").distinct(), "matched-documents", instead_of=(prints,))
+    every = shared.materialise(windows(numbered.join(used, "doc"), sure), "line-windows")
+    first = every.groupBy("way", "key").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    later = every.join(first, ["way", "key"]).where(F.col("place") != F.col("first"))
+    later = later.select("place.doc", F.explode(F.sequence("place.first", "last")).alias("ln")).distinct()
+    gone = numbered.select("doc", "ln", "pos").join(later, ["doc", "ln"]).select("doc", "pos")
+    return lines, shared.materialise(gone, "repeated-lines", instead_of=(every, used, numbered))
 
 
 def without_repeats(docs: DataFrame, noise: int = NOISE, sure: int = SURE) -> DataFrame:
-    """docs with later repeated runs deleted from text, and n_deleted, the number of lines deleted."""
+    """docs with later repeated runs deleted from text, and the number of lines deleted as `count_name` calls it."""
     lines, gone = repeated_lines(docs, noise, sure)
     masks = lines.select("doc", "pos").join(gone.select("doc").distinct(), "doc").distinct().join(gone.withColumn("gone", F.lit(True)), ["doc", "pos"], "left")
     masks = masks.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", F.col("gone").isNull().alias("stays")))).alias("mask"))
-    key, mask, count = shared.free_name(docs, "_doc"), shared.free_name(docs, "_mask"), "n_deleted"
+    key, mask = shared.free_name(docs, "_doc"), shared.free_name(docs, "_mask")
     masks = shared.materialise(masks.select(F.col("doc").alias(key), F.col("mask.stays").alias(mask)), "line-masks", instead_of=(lines, gone))
     text = F.col("text").cast("string")
     kept = F.filter(F.arrays_zip(F.split(text, "\n", -1).alias("line"), F.col(mask).alias("stays")), lambda x: x["stays"])
     shorter = F.array_join(F.transform(kept, lambda x: x["line"]), "\n")
     joined = docs.withColumn(key, _document(text)).join(masks.hint("shuffle_hash"), key, "left")
-    columns = [F.when(F.col(mask).isNull(), text).otherwise(shorter).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != count]
+    columns = [F.when(F.col(mask).isNull(), text).otherwise(shorter).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     deleted = F.coalesce(F.size(F.filter(F.col(mask), lambda x: ~x)), F.lit(0)).cast("long")
-    return joined.select(*columns, F.when(F.col(mask).isNull(), F.lit(0).cast("long")).otherwise(deleted).alias(count))
+    return joined.select(*columns, F.when(F.col(mask).isNull(), F.lit(0).cast("long")).otherwise(deleted).alias(count_name(docs)))
+
+
+def count_name(docs: DataFrame) -> str:
+    return shared.free_name(docs, "n_deleted")
