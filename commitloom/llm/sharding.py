@@ -53,6 +53,17 @@ class SlotMap:
         rows = spark.read.parquet(f"{path}/version={version}").orderBy("vslot").collect()  # n_slots rows
         return cls(version, rows[0]["n_shards"], tuple(r["shard"] for r in rows))
 
+    @classmethod
+    def newest(cls, spark: SparkSession, path: str) -> SlotMap | None:
+        """The last version that was written whole; None without one."""
+        root = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not system.exists(root):
+            return None
+        found = [s.getPath() for s in system.listStatus(root)]
+        done = [int(p.getName().split("=")[1]) for p in found if p.getName().startswith("version=") and system.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+        return cls.load(spark, path, max(done)) if done else None
+
     def rebalanced(self, weights: list[int], n_shards: int | None = None) -> SlotMap:
         """The next version: slots move from the fullest shard to the emptiest while that levels them, then pairs are swapped."""
         n = n_shards or self.n_shards
@@ -122,15 +133,26 @@ def slot_totals(rows: DataFrame, n_slots: int = N_SLOTS) -> tuple[list[int], lis
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 24, n_slots: int = N_SLOTS, store: str | None = None) -> DataFrame:
-    """Each row's shard under the rebalanced map, and its place in the shard, gapless from 0. Maps are stored under `store`."""
+    """Each row's shard under the rebalanced map, and its place in the shard, gapless from 0.
+
+    Maps are stored under `store`. The newest one there is edited for the slots' present bytes and the number of shards, which may have
+    changed, and saved as the next version, unless nothing moves; without one the uniform map is saved as version 1 and edited.
+    """
     spark = docs.sparkSession
     store = store or shared.new_path(spark, "slot-map")
     rows = slotted(docs, n_slots)
     sizes, counts = slot_totals(rows, n_slots)
-    first = SlotMap.uniform(n_slots, n_shards)
-    current = first.rebalanced(sizes)
-    for version in (first, current):
-        version.save(spark, store)
+    known = SlotMap.newest(spark, store)
+    if known is None:
+        known = SlotMap.uniform(n_slots, n_shards)
+        known.save(spark, store)
+    elif len(known.shards) != n_slots:
+        raise ValueError(f"the stored map has {len(known.shards)} slots, not {n_slots}")
+    current = known.rebalanced(sizes, n_shards)
+    if (current.shards, current.n_shards) == (known.shards, known.n_shards):
+        current = known
+    else:
+        current.save(spark, store)
     offsets, filled = [0] * n_slots, [0] * n_shards
     for slot, shard in enumerate(current.shards):
         offsets[slot] = filled[shard]
