@@ -8,15 +8,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: What str.strip() takes off: Unicode white space and the four separators.
-_BLANK = r"[\s\x1c-\x1f]"
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U)\A{_BLANK}+|{_BLANK}+\z", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U){_BLANK}+\z", "")
+    return F.rtrim(c, F.lit(BLANKS))
 
 
 def byte_length(c: Column) -> Column:

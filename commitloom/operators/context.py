@@ -36,8 +36,7 @@ def function_range(lines: list[str], line: int) -> tuple[int, int] | None:
             return i
         return i - 1 if bare == "{" and i and _CALL.match(lines[i - 1].strip()) else None
 
-    at = min(line - 1, len(lines) - 2)
-    first = next((s for s in map(opens, range(at, max(-1, line - 1 - BACK), -1)) if s is not None), None)
+    first = next((s for s in map(opens, range(line - 1, max(-1, line - 1 - BACK), -1)) if s is not None), None)
     if first is None:
         return None
     scope = lines[first : first + AHEAD]

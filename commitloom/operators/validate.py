@@ -100,8 +100,9 @@ def smart_coverage(source: Column, diff: Column) -> Column:
     """Of the context lines: how many the input holds, exactly or with other white space."""
     wanted, have = context_lines(diff), _lines(source)
     loose = F.transform(have, _squeezed)
-    near = lambda c: F.exists(loose, lambda i: i.contains(_squeezed(c)) | _squeezed(c).contains(i))
-    missing = F.filter(wanted, lambda c: ~(F.array_contains(have, c) | near(c)))
+    pairs = F.transform(wanted, lambda c: F.struct(c.alias("line"), _squeezed(c).alias("loose")))  # squeezed once, not for each line of the input
+    near = lambda p: F.exists(loose, lambda i: i.contains(p["loose"]) | p["loose"].contains(i))
+    missing = F.transform(F.filter(pairs, lambda p: ~(F.array_contains(have, p["line"]) | near(p))), lambda p: p["line"])
     return _coverage(F.size(wanted), F.size(wanted) - F.size(missing), F.slice(missing, 1, 5))
 
 

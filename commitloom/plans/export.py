@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import text
 from ..operators import clean, validate
+from ..sources import scratch
 
 
 def message(sep: str = "\n\n") -> Column:
@@ -117,16 +118,21 @@ def batch(commits: DataFrame, files: DataFrame, min_heuristic: float, limit: int
     return _top(rows, [F.desc("heuristic_score"), "commit_hash"], limit)
 
 
-def tier_commits(commits: DataFrame, tier: config.Tier) -> DataFrame:
-    rows = commits.where(F.col("heuristic_score") >= tier.min_heuristic)
+def in_tier(tier: config.Tier) -> Column:
+    """Whether a commit belongs to a tier."""
+    ai, reason = F.col("ai_quality_score"), F.coalesce("ai_score_reason", F.lit(""))
+    found = F.col("heuristic_score") >= tier.min_heuristic
     if tier.reasoning:
-        rows = rows.where(F.coalesce("ai_score_reason", F.lit("")) != "")
+        found = found & (reason != "")
     if tier.min_ai is not None:
-        ai = F.col("ai_quality_score")
-        rows = rows.where(ai > 0 if tier.min_ai == 0 else ai >= tier.min_ai)
+        found = found & (ai > 0 if tier.min_ai == 0 else ai >= tier.min_ai)
     if tier.phrase:
-        rows = rows.where(F.col("ai_score_reason").contains(tier.phrase))
-    return rows
+        found = found & reason.contains(tier.phrase)
+    return F.coalesce(found, F.lit(False))
+
+
+def tier_commits(commits: DataFrame, tier: config.Tier) -> DataFrame:
+    return commits.where(in_tier(tier))
 
 
 def tier(commits: DataFrame, files: DataFrame, t: config.Tier) -> DataFrame:
@@ -139,6 +145,41 @@ def tier(commits: DataFrame, files: DataFrame, t: config.Tier) -> DataFrame:
     return _top(rows, order, t.limit)
 
 
+def all_tiers(commits: DataFrame, files: DataFrame, tiers: tuple[config.Tier, ...] = config.TIERS) -> DataFrame:
+    """The records of several tiers, as `tier` gives them one by one, with the tier's name: commits are scored and files searched once.
+
+    A pass over the commits leaves keys and scores with the tiers that each belongs to. The best of a tier are found by counting: how many
+    commits have each score and start of hash says which of these go whole, and only those of the one at the limit are sorted.
+    Code and messages are then looked up for the union of the tiers.
+    """
+    f = window_of(files, 50, 5000)
+    member = F.array_compact(F.array(*(F.when(in_tier(t), F.lit(i)) for i, t in enumerate(tiers))))
+    keys = commits.select("commit_hash", "heuristic_score", "ai_quality_score", member.alias("tiers")).where(F.size("tiers") > 0)
+    placed = first_paths(scratch.written(keys, "tier-commits"), f)
+    rows = placed.select("commit_hash", "file_path", "heuristic_score", "ai_quality_score", F.explode("tiers").alias("tier"))
+    by_model = F.col("tier").isin(*(i for i, t in enumerate(tiers) if t.reasoning)) if any(t.reasoning for t in tiers) else F.lit(False)
+    rows = rows.withColumn("a", F.when(by_model, -F.col("ai_quality_score")).otherwise(0.0)).withColumn("b", -F.col("heuristic_score")).withColumn("c", F.substring("commit_hash", 1, 3))
+    rows = scratch.written(rows, "tier-rows")
+    bucket = ["tier", "a", "b", "c"]
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("tier").orderBy("a", "b", "c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # scores and starts only
+    most = F.lit(None).cast("long")
+    for i, t in enumerate(tiers):
+        most = F.when(F.col("tier") == i, F.lit(t.limit).cast("long")).otherwise(most)
+    counts = rows.groupBy(*bucket).agg(F.count("*").alias("n")).withColumn("before", before).withColumn("most", most).where("most IS NULL OR before < most")
+    whole = F.col("most").isNull() | (F.col("before") + F.col("n") <= F.col("most"))
+    met = rows.join(counts.select(*bucket, "before", "most", whole.alias("whole")), bucket)
+    turn = F.row_number().over(Window.partitionBy(*bucket).orderBy("commit_hash"))
+    cut = met.where(~F.col("whole")).withColumn("turn", turn).where(F.col("before") + F.col("turn") <= F.col("most"))
+    columns = ["commit_hash", "file_path", "heuristic_score", "ai_quality_score", "tier"]
+    chosen = scratch.written(met.where("whole").select(*columns).unionByName(cut.select(*columns)), "tier-members")
+    once = scratch.written(chosen.select("commit_hash", "file_path").distinct(), "tier-files")
+    code = with_code(once, f, "code_before", "diff_hunk").drop("file_path")
+    messages = commits.select("commit_hash", text.strip(message()).alias("instruction")).join(once.select("commit_hash"), "commit_hash", "left_semi")
+    name = F.get(F.array(*(F.lit(t.name) for t in tiers)), F.col("tier"))
+    found = chosen.join(code, "commit_hash").join(messages, "commit_hash")
+    return found.select(name.alias("tier"), "commit_hash", "heuristic_score", "ai_quality_score", "instruction", text.prefix(F.col("code_before"), 2000).alias("input"), F.col("diff_hunk").alias("output"))
+
+
 def cleaned(rows: DataFrame, strict: bool) -> DataFrame:
     """instruction, input and output cleaned and the reason if invalid; rows hold instruction or subject and body, code_before, diff_hunk."""
     made = rows if "instruction" in rows.columns else rows.withColumn("instruction", clean.instruction(message()))

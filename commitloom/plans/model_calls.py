@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import text
 from ..operators import clean, score, validate
-from . import export
+from . import export, reply_ledger
 
 
 def scoring_prompt(instruction: Column, diff: Column, context: Column | None = None) -> Column:
@@ -54,13 +54,17 @@ def scoring_candidates(commits: DataFrame, files: DataFrame, min_heuristic: floa
     return wanted.join(f, "commit_hash", "left")
 
 
-def score_commits(commits: DataFrame, files: DataFrame, ask: Callable[[str], str], min_heuristic: float = 30, limit: int | None = None) -> DataFrame:
-    """commits with model scores merged in: -1 without a valid diff, 0 if the call fails."""
+def score_commits(commits: DataFrame, files: DataFrame, ask: Callable[[str], str], min_heuristic: float = 30, limit: int | None = None, ledger: str | None = None) -> DataFrame:
+    """commits with model scores merged in: -1 without a valid diff, 0 if the call fails.
+
+    With a ledger (a folder) no prompt is asked twice, however often this runs or fails; see `reply_ledger`. Store the scores by `versioned.update`.
+    """
     rows = scoring_candidates(commits, files, min_heuristic, limit)
     context = clean.source_for(F.col("code_before"), F.col("diff_hunk"))
     prompted = rows.where(F.col("diff_hunk").isNotNull()).select("commit_hash", scoring_prompt(export.message(), F.col("diff_hunk"), context).alias("prompt"))
     value, reason = score.parse_reply(F.col("reply"))
-    answered = call(prompted, ask).select("commit_hash", value.alias("new_score"), reason.alias("new_reason"))
+    asked = call(prompted, ask) if ledger is None else reply_ledger.ask_all(prompted, ask, ledger)
+    answered = asked.select("commit_hash", value.alias("new_score"), reason.alias("new_reason"))
     answered = answered.select("commit_hash", F.coalesce("new_score", F.lit(0.0)).alias("new_score"), F.when(F.col("new_score").isNull(), "scoring failed").otherwise(F.substring("new_reason", 1, 500)).alias("new_reason"))
     skipped = rows.where(F.col("diff_hunk").isNull()).select("commit_hash", F.lit(-1.0).alias("new_score"), F.lit("no valid diff").alias("new_reason"))
     merged = commits.join(answered.unionByName(skipped), "commit_hash", "left")

@@ -199,6 +199,14 @@ _query(
     lambda c, f: export.batch(c, f, 70),
     f"SELECT commit_hash, heuristic_score, {_strip(_MESSAGE)} AS instruction, substr(code_before, 1, 2000) AS input, diff_hunk AS output FROM commits JOIN first_50_5000 USING (commit_hash) WHERE heuristic_score >= 70",
 )
+def _all_tiers_sql(tiers: tuple[config.Tier, ...]) -> str:
+    one = "SELECT '{name}' AS tier, * FROM (SELECT commit_hash, heuristic_score, ai_quality_score, {instruction} AS instruction, substr(code_before, 1, 2000) AS input, diff_hunk AS output FROM commits JOIN first_50_5000 USING (commit_hash) WHERE {where} ORDER BY {order} LIMIT {limit})"
+    return " UNION ALL ".join(one.format(name=t.name, instruction=_strip(_MESSAGE), where=_tier_where(t), order=("ai_quality_score DESC, " if t.reasoning else "") + "heuristic_score DESC, commit_hash", limit=t.limit) for t in tiers)
+
+
+_LIMITED = tuple(replace(t, limit=n) for t, n in zip(config.TIERS, (50, 400, 700, 60, 80), strict=True))
+_query("all_tiers", lambda c, f: export.all_tiers(c, f), _all_tiers_sql(config.TIERS))
+_query("all_tiers_limited", lambda c, f: export.all_tiers(c, f, _LIMITED), _all_tiers_sql(_LIMITED))
 for _t in config.TIERS:
     _order = ("ai_quality_score DESC, " if _t.reasoning else "") + "heuristic_score DESC, commit_hash"
     _query(

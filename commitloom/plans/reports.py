@@ -101,7 +101,28 @@ def sizes(examples: DataFrame) -> DataFrame:
     return examples.agg(F.avg(n[0]).alias("average_input"), F.avg(n[1]).alias("average_output"))
 
 
-def dataset_card(title: str, counts: dict[str, int]) -> str:
-    """A Markdown card; the counts are one number for each tier."""
-    rows = "\n".join(f"| {name} | {n:,} |" for name, n in counts.items())
-    return f"# {title}\n\n| tier | records |\n|---|---|\n{rows}\n\nFields: instruction, input, output; reasoning tiers add quality_score and quality_reason.\n"
+#: Upper bounds of the size categories that dataset hubs use.
+SIZES = ((1_000, "n<1K"), (10_000, "1K<n<10K"), (100_000, "10K<n<100K"), (1_000_000, "100K<n<1M"), (10_000_000, "1M<n<10M"))
+FIELDS = {"instruction": "commit message that explains the change", "input": "code around the changed lines", "output": "unified diff"}
+REASONING_FIELDS = {"quality_score": "score that a model gave, 1 to 5", "quality_reason": "the model's reason"}
+
+
+def dataset_card(
+    title: str, counts: dict[str, int], descriptions: dict[str, str] | None = None, license: str = "other", languages: tuple[str, ...] = ("en",), tags: tuple[str, ...] = (), metrics: dict[str, float] | None = None, date: str | None = None
+) -> str:
+    """A Markdown card with front matter: tiers with their counts and what they are, fields, usage and measured metrics.
+
+    counts are one number for each tier, metrics values that a report has measured (rounded to two places); a part without content is left out.
+    """
+    total = sum(counts.values())
+    size = next((name for most, name in SIZES if total < most), "n>10M")
+    listed = lambda name, items: [f"{name}:", *(f"- {i}" for i in items)] if items else []
+    front = ["---", f"license: {license}", *listed("language", languages), *listed("tags", tags), *listed("size_categories", (size,)), "---"]
+    rows = [f"| {name} | {n:,} |" + (f" {descriptions.get(name, '')} |" if descriptions else "") for name, n in counts.items()]
+    heads = ["| tier | records |" + (" description |" if descriptions else ""), "|---|---|" + ("---|" if descriptions else "")]
+    first = next(iter(counts), "tier")
+    usage = ["## Usage", "", "```python", f'rows = spark.read.json("{first}")', 'rows.select("instruction", "input", "output").show()', "```"]
+    fields = ["## Fields", "", *(f"* `{k}`: {v}" for k, v in FIELDS.items()), "", "Reasoning tiers add:", "", *(f"* `{k}`: {v}" for k, v in REASONING_FIELDS.items())]
+    measured = ["## Metrics", "", *(f"* {k}: {v:.2f}" for k, v in metrics.items()), ""] if metrics else []
+    parts = [*front, "", f"# {title}", "", f"{total:,} records made from version history.", "", "## Tiers", "", *heads, *rows, "", *usage, "", *fields, "", *measured, f"License: {license}"]
+    return "\n".join(parts + ([f"\nMade on {date}"] if date else [])) + "\n"

@@ -17,12 +17,12 @@ SELECT sha1(concat('c', o.o_orderkey)) AS commit_hash,
        CASE WHEN c.c_custkey % 40 = 0 THEN '{maintainer}' ELSE concat(lower(c.c_name), '@example.org') END AS author_email,
        o.o_orderdate AS author_date,
        o.o_orderdate AS commit_date,
-       concat(CASE o.o_orderkey % 9 WHEN 0 THEN 'net: core: fix memory leak in ' WHEN 1 THEN 'Revert "mm: speed up alloc" of '
+       concat(CASE o.o_orderkey % 9 WHEN 0 THEN 'net: route: fix memory leak of ' WHEN 1 THEN 'Revert "mm: speed up alloc" of '
                    WHEN 2 THEN 'fix typo in ' WHEN 3 THEN 'drm: fix use-after-free in ' WHEN 4 THEN 'x86: update '
                    WHEN 5 THEN 'usb: CVE-2020-1234 doc ' WHEN 6 THEN 'refactor and rename ' ELSE 'sched: tune ' END,
               lower(c.c_mktsegment)) AS subject,
        concat(CASE WHEN o.o_orderkey % 9 = 1 THEN concat('This reverts commit ', sha1(concat('c', o.o_orderkey - 8)), '.') 
-                   WHEN o.o_orderkey % 7 = 0 THEN 'This fixes a leak because we forgot to free.'
+                   WHEN o.o_orderkey % 7 = 0 THEN 'The buffer stays allocated because its last user is gone.'
                    WHEN o.o_orderkey % 7 = 1 THEN '(cherry picked from commit abc)'
                    WHEN o.o_orderkey % 7 = 2 THEN 'Race condition: take the lock.' ELSE 'Nothing here.' END,
               CASE WHEN o.o_orderkey % 4 = 0 THEN '' ELSE concat(chr(10), chr(10), coalesce(d.text, '')) END) AS body,

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import charset
 
 # Table schemas.
 COMMITS = (
@@ -41,9 +42,16 @@ def evolve(rows: DataFrame, columns: str) -> DataFrame:
     return rows.select(*own, *(F.col(f"`{c}`") for c in rows.columns if c.lower() not in names))
 
 
-def append(rows: DataFrame, path: str, key: str | None = None) -> None:
-    """Append by committed tasks; sorted within partitions by key, so that readers can skip row groups by its statistics."""
-    (rows.sortWithinPartitions(key) if key else rows).write.mode("append").option("compression", "zstd").parquet(path)
+def append(rows: DataFrame, path: str, key: str | None = None, keys_expected: int | None = None) -> None:
+    """Append by committed tasks; sorted within partitions by key, so that readers can skip row groups by its statistics.
+
+    With `keys_expected`, the different keys of a row group, each row group gets a Bloom filter of its keys: a look-up by hash reads only
+    those that may hold it, wherever the sort put it.
+    """
+    writer = (rows.sortWithinPartitions(key) if key else rows).write.mode("append").option("compression", "zstd")
+    if key and keys_expected:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option(f"parquet.bloom.filter.expected.ndv#{key}", keys_expected)
+    writer.parquet(path)
 
 
 def unseen(rows: DataFrame, done: DataFrame, key: str = "commit_hash") -> DataFrame:
@@ -59,7 +67,16 @@ def resume_from(rows: DataFrame, ordinal: str, key: str, start: str) -> DataFram
 
 def read_json_lines(spark: SparkSession, path: str, columns: str = EXAMPLE) -> DataFrame:
     """JSON lines of a schema; what is no JSON object is kept whole in _corrupt_record, blank lines are skipped."""
-    return spark.read.schema(f"{columns}, {BAD_LINE} string").option("columnNameOfCorruptRecord", BAD_LINE).option("mode", "PERMISSIVE").json(path)
+    fields = F.from_json("value", f"{columns}, {BAD_LINE} string", {"columnNameOfCorruptRecord": BAD_LINE, "mode": "PERMISSIVE"})
+    rows = spark.read.text(path).where(F.trim(F.translate("value", "\t\r", "  ")) != "").select("value", fields.alias("row"))
+    whole = F.col("row").isNull() | ~F.startswith(F.ltrim("value"), F.lit("{"))
+    names = [f.name for f in T._parse_datatype_string(columns).fields]
+    return rows.select(*(F.when(~whole, F.col(f"row.`{n}`")).alias(n) for n in names), F.when(whole, F.col("value")).otherwise(F.col(f"row.{BAD_LINE}")).alias(BAD_LINE))
+
+
+def bad_lines(spark: SparkSession, path: str, columns: str = EXAMPLE) -> DataFrame:
+    """The lines that read_json_lines keeps whole."""
+    return read_json_lines(spark, path, columns).where(F.col(BAD_LINE).isNotNull()).select(F.col(BAD_LINE).alias("line"))
 
 
 def missing_fields(spark: SparkSession, path: str, required: tuple[str, ...] = ("instruction", "output")) -> DataFrame:
@@ -92,12 +109,20 @@ def with_synthetic(rows: DataFrame, synthetic: DataFrame) -> DataFrame:
     return rows.unionByName(synthetic, allowMissingColumns=True)
 
 
-def decoded(content, limit: int = 100_000):
-    """Text of a blob: '' if one of its first 8000 bytes is zero, UTF-8 if valid, else Latin-1; `limit` bytes are read."""
+def decoded(content: Column, limit: int = 100_000) -> Column:
+    """Text of a blob, of which `limit` bytes are read: '' if one of the first 8000 is zero, UTF-8 if valid, else by its likely charset.
+
+    A character that the limit cuts becomes U+FFFD and doesn't make the rest invalid. Only what is no UTF-8 leaves the JVM.
+    """
     head = F.substring(content, 1, limit)
     zero = F.instr(F.hex(F.substring(head, 1, 8000)), "00") > 0
     zero = zero & F.hex(F.substring(head, 1, 8000)).rlike("^(?:..)*?00")
-    return F.when(zero, F.lit("")).when(F.is_valid_utf8(head.cast("string")), head.cast("string")).otherwise(F.decode(head, "ISO-8859-1"))
+    # of a cut text, the start of a last character that lacks bytes
+    tail = F.regexp_extract(F.hex(F.substring(head, -3, 3)), "((?:[CDEF].)|(?:[EF].[89AB].)|(?:F.[89AB].[89AB].))$", 1)
+    spare = F.when(F.octet_length(content) > limit, F.length(tail) / 2).otherwise(0).cast("int")
+    whole = head.substr(F.lit(1), F.octet_length(head) - spare)
+    text = F.when(F.is_valid_utf8(head.cast("string")), head.cast("string")).when(F.is_valid_utf8(whole.cast("string")), F.concat(whole.cast("string"), F.when(spare > 0, "\ufffd").otherwise("")))
+    return F.when(content.isNotNull(), F.when(zero, F.lit("")).otherwise(F.coalesce(text, charset.likely_text(F.when(~zero & text.isNull(), head)))))
 
 
 def dry_run(rows: DataFrame) -> None:
@@ -122,13 +147,15 @@ def lookup(rows: DataFrame, value: str, key: str = "commit_hash") -> DataFrame:
 
 
 def inspect(commits: DataFrame, files: DataFrame, order: list[str], n: int, peeks: dict[str, tuple[int, int]] | None = None, key: str = "commit_hash") -> DataFrame:
-    """The first n rows of a join; of the columns in peeks only (head, tail) characters are shown."""
+    """The first n rows of a join; of the columns in peeks only (head, tail) bytes are shown, with U+FFFD for a character that is cut."""
     rows = commits.join(files, key).orderBy(*order).limit(n)
     shown = []
     for c in rows.columns:
         if peeks and c in peeks:
             head, tail = peeks[c]
-            shown += [F.substring(c, 1, head).alias(f"{c}_head"), F.right(F.col(c), F.lit(tail)).alias(f"{c}_tail")]
+            raw = F.encode(F.col(f"`{c}`"), "UTF-8")
+            last = raw.substr(F.greatest(F.octet_length(raw) - tail, F.lit(0)) + 1, F.lit(tail))
+            shown += [F.make_valid_utf8(part.cast("string")).alias(f"{c}_{end}") for end, part in (("head", F.substring(raw, 1, head)), ("tail", last))]
         else:
             shown.append(F.col(f"`{c}`"))
     return rows.select(*shown)
