@@ -6,11 +6,12 @@ two chunks share a pre-token boundary in their overlap they agree from there on:
 chunk takes over. Only boundaries behind a non-space character count, since there the look-ahead ``\s+(?!\S)`` of the pattern
 can't reach across. Chunks between which nothing resynchronises become one piece, which is pre-tokenised again from where it
 starts; its end is compared with the next chunk, and so on until every cut resynchronises. So a piece is about as long as a
-chunk or as its longest pre-token. Pieces are then encoded and their ids concatenated in order; decoding concatenates
-the raw bytes of the ids, once a text's ids are together, so only ids are shuffled.
+chunk or as its longest pre-token. A chunk is encoded where it is pre-tokenised, with the number of ids up to each boundary in its
+overlaps: once the cuts are known, a piece of one chunk is a slice of the ids it has, and only pieces of several chunks are
+encoded again. Decoding concatenates the raw bytes of the ids, once a text's ids are together, so only ids are shuffled.
 
 The chunk table is written to the shared folder in small row groups: rows keep their key if an executor is lost, and any
-task can read a part of a text, so the cut itself needs no shuffle. Boundaries are stitched without texts.
+task can read a part of a text, so the cut itself needs no shuffle. Boundaries are stitched without texts and ids.
 
 Defined cases: null text counts as empty (no ids, no bytes); repeated rows each get their ids; ids of any type and null ids
 pass through; empty input gives empty output; other columns are ignored. A run of white space, letters or digits of any length
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from itertools import takewhile
+from itertools import accumulate, takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -69,49 +70,74 @@ def boundaries(text: str, find) -> list[int]:
     return [m.start() for m in find(text) if m.start() and not text[m.start() - 1].isspace()]
 
 
-def _stitched(parts: DataFrame, find_pattern: str, chunk: int, overlap: int) -> DataFrame:
-    """key, first and last (chunks), since and until (where in the text) of every piece."""
+def _tokenised(parts: DataFrame, ranks, find_pattern: str, chunk: int, overlap: int) -> DataFrame:
+    """key, part, parts, ids, and the boundaries in both overlaps (head, tail) with the ids before each (head_n, tail_n); written.
+
+    Boundaries count from the start of their overlap: head from the chunk's own start, tail from that of the next chunk.
+    """
 
     def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = _finder(find_pattern)
+        codec, find = _codec(ranks.value, find_pattern), _finder(find_pattern)
         for batch in batches:
-            heads, tails = [], []
-            for part, text in zip(batch.column("part").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            rows = []
+            for text in batch.column("text"):
+                text = text.as_py()
                 marks = boundaries(text, find)
-                at = part * chunk
-                heads.append([at + b for b in takewhile(lambda b: b <= overlap, marks)])
-                tails.append([at + b for b in marks if b >= chunk])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "part", "part", "parts")), pa.array(heads, pa.list_(pa.int64())), pa.array(tails, pa.list_(pa.int64()))], ["key", "first", "last", "parts", "head", "tail"])
+                head, tail = list(takewhile(lambda b: b <= overlap, marks)), [b for b in marks if b >= chunk]
+                cuts = sorted({0, *head, *tail, len(text)})
+                ids = [_ids(codec, text[a:b], find) for a, b in zip(cuts, cuts[1:], strict=False)]
+                before = dict(zip(cuts, accumulate((len(i) // 4 for i in ids), initial=0), strict=True))
+                rows.append((b"".join(ids), head, [before[b] for b in head], [b - chunk for b in tail], [before[b] for b in tail]))
+            ids, *lists = zip(*rows, strict=True) if rows else ([], [], [], [], [])
+            columns = [*(batch.column(c) for c in ("key", "part", "parts")), pa.array(ids, pa.binary()), *(pa.array(x, pa.list_(pa.int32())) for x in lists)]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "part", "parts", "ids", "head", "head_n", "tail", "tail_n"])
+
+    made = parts.mapInArrow(tokenised, "key long, part int, parts int, ids binary, head array<int>, head_n array<int>, tail array<int>, tail_n array<int>")
+    return shared.materialise(made, "bpe-ids")
+
+
+def _stitched(parts: DataFrame, coded: DataFrame, find_pattern: str, chunk: int) -> DataFrame:
+    """key, first and last (chunks), since and until (where in the text) of every piece, and low and high, the ids of a single chunk that are its own; written."""
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Boundaries of joined chunks behind the start of the last one's overlap."""
+        """Boundaries of joined chunks from the start of the next chunk on."""
         find = _finder(find_pattern)
         for batch in batches:
             tails = []
             for first, last, since, texts in zip(*(batch.column(c).to_pylist() for c in ("first", "last", "since", "texts")), strict=True):
-                skip = since - first * chunk
-                text = _whole(texts, chunk)[skip:]
-                tails.append([since + b for b in boundaries(text, find) if since + b >= (last + 1) * chunk])
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("first"), pa.array(tails, pa.list_(pa.int64()))], ["key", "first", "tail"])
+                text = _whole(texts, chunk)[since - first * chunk :]
+                behind = (last + 1) * chunk - since
+                tails.append([b - behind for b in boundaries(text, find) if b >= behind])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("first"), pa.array(tails, pa.list_(pa.int32()))], ["key", "first", "tail"])
 
     order = Window.partitionBy("key").orderBy("first")
-    pieces = parts.mapInArrow(tokenised, "key long, first int, last int, parts int, head array<long>, tail array<long>")
-    pieces = shared.materialise(pieces, "bpe-marks")
+    at = lambda marks, counts, place: F.get(counts, (F.array_position(marks, place) - 1).cast("int"))
+    pieces = coded.select("key", F.col("part").alias("first"), F.col("part").alias("last"), "parts", "head", "head_n", "tail", "tail_n")
+    columns, done = ["key", "first", "last", "since", "until", "low", "high"], None
     while True:
-        cut = pieces.withColumn("until", F.array_min(F.array_intersect("tail", F.lead("head").over(order))))
-        cut = cut.withColumn("since", F.coalesce(F.lag("until").over(order), F.lit(0).cast("long"))).withColumn("broken", F.col("until").isNull() & (F.col("last") < F.col("parts") - 1))
-        if not cut.where("broken").select("key").head(1):
-            return cut.select("key", "first", "last", "since", "until")
+        cut = pieces.withColumn("stop", F.array_min(F.array_intersect("tail", F.lead("head").over(order)))).withColumn("begin", F.lag("stop").over(order))
+        since = F.coalesce(F.col("first").cast("long") * chunk + F.col("begin"), F.lit(0).cast("long"))
+        cut = cut.withColumn("since", since).withColumn("until", (F.col("last") + 1).cast("long") * chunk + F.col("stop")).withColumn("broken", F.col("stop").isNull() & (F.col("last") < F.col("parts") - 1))
+        cut = cut.withColumn("low", F.coalesce(at("head", "head_n", F.col("begin")), F.lit(0))).withColumn("high", at("tail", "tail_n", F.col("stop")))
+        cut = shared.materialise(cut, "bpe-cuts", instead_of=(pieces,))
+        bad = shared.materialise(cut.where("broken").select("key").distinct(), "bpe-broken")
+        if bad.isEmpty():
+            return cut.select(*columns) if done is None else done.unionByName(cut.select(*columns))
+        few = shared.small_side(bad)  # only texts with a broken cut go on
+        whole = cut.join(few, "key", "left_anti").select(*columns)
+        done = whole if done is None else done.unionByName(whole)
+        cut = cut.join(few, "key", "left_semi")
         run = F.sum(F.when(F.coalesce(F.lag("broken").over(order), F.lit(False)), 0).otherwise(1)).over(order)
         joined = cut.withColumn("run", run).groupBy("key", "run").agg(
-            F.min("first").alias("first"), F.max("last").alias("last"), F.first("parts").alias("parts"), F.min_by("head", "first").alias("head"), F.max_by("tail", "first").alias("tail"), F.min_by("since", "first").alias("since"), F.count("*").alias("n")
+            F.min("first").alias("first"), F.max("last").alias("last"), F.first("parts").alias("parts"), *(F.min_by(c, "first").alias(c) for c in ("head", "head_n", "since")), *(F.max_by(c, "first").alias(c) for c in ("tail", "tail_n")), F.count("*").alias("n")
         )
         joined = shared.materialise(joined, "bpe-joined")
         wide = joined.where("n > 1").select("key", "first", "last", "since", F.explode(F.sequence("first", "last")).alias("part"))
-        texts = parts.join(wide, ["key", "part"]).groupBy("key", "first").agg(F.first("last").alias("last"), F.first("since").alias("since"), F.sort_array(F.collect_list(F.struct("part", "text"))).alias("texts"))
-        tails = texts.mapInArrow(again, "key long, first int, tail array<long>").withColumnRenamed("tail", "anew")
-        anew = joined.join(tails, ["key", "first"], "left").select("key", "first", "last", "parts", "head", F.coalesce("anew", "tail").alias("tail"))
-        pieces = shared.materialise(anew, "bpe-marks", instead_of=(pieces, joined))
+        texts = parts.join(shared.small_side(wide), ["key", "part"]).groupBy("key", "first").agg(F.first("last").alias("last"), F.first("since").alias("since"), F.sort_array(F.collect_list(F.struct("part", "text"))).alias("texts"))
+        tails = texts.mapInArrow(again, "key long, first int, tail array<int>").withColumnRenamed("tail", "anew")
+        # what is before a boundary of several chunks isn't counted: these are encoded again in the end
+        anew = joined.join(tails, ["key", "first"], "left").select("key", "first", "last", "parts", "head", "head_n", F.coalesce("anew", "tail").alias("tail"), F.when(F.col("anew").isNull(), F.col("tail_n")).alias("tail_n"))
+        pieces = shared.materialise(anew, "bpe-marks", instead_of=(joined,))
 
 
 def _whole(texts: list[dict], chunk: int) -> str:
@@ -148,14 +174,10 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, chunk: int
     parts = keyed.mapInArrow(cut, f"key long, doc_id {kind}, part int, parts int, text string")
     parts = shared.materialise(parts, "bpe-chunks", block_mb=4)
 
-    pieces = _stitched(parts, pattern, chunk, overlap)
-    spread = pieces.select("key", "first", "last", "since", "until", F.explode(F.sequence("first", "last")).alias("part"))
-    met = parts.join(spread.hint("shuffle_hash"), ["key", "part"]).select("key", F.col("first").alias("piece"), "last", "doc_id", "since", "until", F.struct("part", "text").alias("chunk"))
-    texts = met.where(F.col("piece") == F.col("last")).select("key", "piece", "doc_id", "since", "until", F.array("chunk").alias("texts"))
-    wide = met.where(F.col("piece") < F.col("last")).groupBy("key", "piece").agg(
-        F.first("doc_id").alias("doc_id"), F.first("since").alias("since"), F.first("until").alias("until"), F.sort_array(F.collect_list("chunk")).alias("texts")
-    )
-    texts = texts.unionByName(wide)
+    marked = _tokenised(parts, sent, pattern, chunk, overlap)
+    pieces = _stitched(parts, marked, pattern, chunk)
+    spread = pieces.where("first < last").select("key", "first", "since", "until", F.explode(F.sequence("first", "last")).alias("part"))
+    wide = parts.join(shared.small_side(spread), ["key", "part"]).groupBy("key", "first").agg(F.first("since").alias("since"), F.first("until").alias("until"), F.sort_array(F.collect_list(F.struct("part", "text"))).alias("texts"))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, find = _codec(sent.value, pattern), _finder(pattern)
@@ -165,17 +187,25 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, chunk: int
                 at = texts[0]["part"] * chunk
                 text = _whole(texts, chunk)
                 done.append(_ids(codec, text[since - at : None if until is None else until - at], find))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), batch.column("piece"), pa.array(done, pa.binary())], ["key", "doc_id", "piece", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("first"), pa.array(done, pa.binary())], ["key", "first", "own"])
+
+    again = shared.materialise(wide.mapInArrow(coded, "key long, first int, own binary"), "bpe-wide")
+    cuts = pieces.where("first = last").select("key", F.col("first").alias("part"), "low", "high", F.lit(None).cast("binary").alias("own"))
+    cuts = cuts.unionByName(again.select("key", F.col("first").alias("part"), F.lit(0).alias("low"), F.lit(None).cast("int").alias("high"), "own"))
+    plans = cuts.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("part", "low", "high", "own"))).alias("cuts"))
+    ordered = marked.select("key", "part", "ids").groupBy("key").agg(F.collect_list(F.struct("part", "ids")).alias("all"))
+    names = parts.where("part = 0").select("key", "doc_id")
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(sent.value, pattern)
         for batch in batches:
-            raw = [_decoded(codec, ids) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(raw, pa.binary())], ["doc_id", "ids", "decoded"])
+            for doc, every, cuts in zip(*(batch.column(c) for c in ("doc_id", "all", "cuts")), strict=True):
+                own = {x["part"]: x["ids"] for x in every.as_py()}
+                ids = b"".join([own[c["part"]][4 * c["low"] : None if c["high"] is None else 4 * c["high"]] if c["own"] is None else c["own"] for c in cuts.as_py()])
+                columns = [pa.array([doc.as_py()], batch.schema.field("doc_id").type), pa.array([ids], pa.binary()), pa.array([_decoded(codec, ids)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
 
-    encoded = texts.mapInArrow(coded, f"key long, doc_id {kind}, piece int, ids binary")
-    ordered = encoded.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("piece", "ids"))).alias("all"))
-    joined = ordered.select("doc_id", F.unhex(F.array_join(F.transform("all", lambda x: F.hex(x["ids"])), "")).alias("ids"))
+    joined = ordered.join(plans.hint("shuffle_hash"), "key").join(names.hint("shuffle_hash"), "key").select("doc_id", "all", "cuts")
     return short.unionByName(joined.mapInArrow(decoded, f"doc_id {kind}, ids binary, decoded binary"))
 
 

@@ -70,6 +70,15 @@ def discard(*tables: DataFrame | None) -> None:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: Rows of a few numbers that every executor can hold.
+SMALL_ROWS = 100_000
+
+
+def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """df, to be broadcast if it has no more than `rows` rows, by count; beyond that a join shuffles it. For written tables of numbers."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def text_or_empty(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
