@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import text
-from ..operators import clean, score, validate
+from ..operators import clean, late, score, validate
 from . import export, reply_ledger
 
 
@@ -44,22 +44,23 @@ def call(rows: DataFrame, ask: Callable[[str], str], prompt: str = "prompt", rep
     return rows.mapInPandas(run, f"{schema}, `{reply}` string, `{error}` string")
 
 
-def scoring_candidates(commits: DataFrame, files: DataFrame, min_heuristic: float = 30, limit: int | None = None) -> DataFrame:
+def scoring_candidates(commits: export.Rows, files: export.Rows, min_heuristic: float = 30, limit: int | None = None) -> DataFrame:
     """Unscored commits, best first, with their first .c or .h diff of 50 to 8000 bytes if there is one."""
-    wanted = commits.where((F.col("heuristic_score") >= min_heuristic) & F.col("ai_quality_score").isNull()).select("commit_hash", "subject", "body", "heuristic_score")
+    c = late.table(commits).where((F.col("heuristic_score") >= min_heuristic) & F.col("ai_quality_score").isNull())
+    wanted = c.carried("subject", "body", "heuristic_score", early=("commit_hash",))
     if limit:
-        wanted = wanted.orderBy(F.desc("heuristic_score"), "commit_hash").limit(limit)
+        wanted = export.best(wanted, [-F.col("heuristic_score")], limit)
     f = export.window_of(files, config.MIN_OUTPUT, config.MAX_OUTPUT).where(F.col("file_extension").isin(*config.CODE_EXTENSIONS))
-    f = export.first_file(f.select("commit_hash", "file_path", "code_before", "diff_hunk"))
-    return wanted.join(f, "commit_hash", "left")
+    return f.whole(c.whole(export.first_files(wanted, f, "code_before", "diff_hunk", how="left")), optional=True)
 
 
-def score_commits(commits: DataFrame, files: DataFrame, ask: Callable[[str], str], min_heuristic: float = 30, limit: int | None = None, ledger: str | None = None) -> DataFrame:
+def score_commits(commits: export.Rows, files: export.Rows, ask: Callable[[str], str], min_heuristic: float = 30, limit: int | None = None, ledger: str | None = None) -> DataFrame:
     """commits with model scores merged in: -1 without a valid diff, 0 if the call fails.
 
     With a ledger (a folder) no prompt is asked twice, however often this runs or fails; see `reply_ledger`. Store the scores by `versioned.update`.
     """
     rows = scoring_candidates(commits, files, min_heuristic, limit)
+    commits = late.table(commits).rows
     context = clean.source_for(F.col("code_before"), F.col("diff_hunk"))
     prompted = rows.where(F.col("diff_hunk").isNotNull()).select("commit_hash", scoring_prompt(export.message(), F.col("diff_hunk"), context).alias("prompt"))
     value, reason = score.parse_reply(F.col("reply"))
