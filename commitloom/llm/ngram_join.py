@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ from . import graph, shared
 
 BLOCK_SETS = 1024
 BLOCK_TOKENS = 4_000_000
+SLICES = 4
+HELD = 400_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -250,10 +253,14 @@ def _joined(docs: DataFrame, blocks: DataFrame, n: int, percent: int) -> DataFra
     """u, v: links that span the components of every block (group, i, j) of blocks (node, h1, side).
 
     Sets of side 0 are joined with each other if a block has no others, else with those of side 1. Texts are shuffled, not sets:
-    they are shorter and compress, and a task holds the sets of one block at a time.
+    they are shorter and compress, and a task holds the sets of one block at a time. Up to `HELD` rows, blocks are broadcast, so that
+    only their own texts are shuffled.
     """
     node = blocks.schema["node"].dataType.simpleString()
-    rows = docs.select(F.col("doc_id").alias("node"), F.col("text").cast("string").alias("text")).join(blocks.hint("shuffle_hash"), "node")
+    rows = docs.select(F.col("doc_id").alias("node"), F.col("text").cast("string").alias("text"))
+    blocks = blocks.select("node", "h1", "side", "group", "i", "j")
+    held_here = shared.small_side(blocks, HELD)
+    rows = rows.join(blocks.hint("shuffle_hash") if held_here is blocks else held_here, "node")
     rows = rows.select("node", "h1", "side", "group", "i", "j", "text")
 
     def done(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,20 +319,26 @@ def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
 def _shared_marks(wide: DataFrame, classes: DataFrame) -> DataFrame:
     """u, v: classes that share one of their rarest marks with the least class that has it. Deletes `wide`.
 
-    Marks leave their arrays twice, to be counted and to be met by the counts of those that more sets than one have; shuffles of
-    one step are gone before the next one's.
+    Marks leave their arrays twice, to be counted and to be met by the counts of those that more sets than one have: one slice of all
+    marks after the other, since the shuffles of one are gone before the next one's, and only marks that sets share are kept.
     """
     same = (wide["doc_id"] == classes["node"]) & (wide["h1"] == classes["h1"]) & (wide["h2"] == classes["h2"])
     held = wide.join(classes, same, "left_semi").select(F.col("doc_id").alias("node"), "spares", "marks")
     held = shared.materialise(held, "class-marks", instead_of=(wide,))
     # A mark of one set alone brings nothing together, and comes first in the order.
-    often = held.select(F.explode(F.flatten("marks")).alias("mark")).groupBy("mark").agg(F.count("*").alias("sets")).where(F.col("sets") > 1)
-    often = shared.materialise(often, "frequent-marks")
+    every = held.select(F.explode(F.flatten("marks")).alias("mark"))
     marks = held.select("node", "spares", F.posexplode("marks").alias("level", "found"))
     marks = marks.select("node", F.struct("level", F.get("spares", "level").alias("spare")).alias("level"), F.explode("found").alias("mark"))
+    slices = []
+    for k in range(SLICES):
+        here = F.pmod("mark", F.lit(SLICES)) == k
+        often = shared.materialise(every.where(here).groupBy("mark").agg(F.count("*").alias("sets")).where(F.col("sets") > 1), "frequent-marks")
+        slices.append(shared.materialise(marks.where(here).join(often.hint("shuffle_hash"), "mark"), "met-marks", instead_of=(often,)))
+    shared.discard(held)
+    met = reduce(DataFrame.unionByName, slices)
     fall = Window.partitionBy("node", "level").orderBy(F.desc("sets"), F.desc("mark"))
-    rare = marks.join(often.hint("shuffle_hash"), "mark").withColumn("turn", F.row_number().over(fall)).where(F.col("turn") > F.col("level.spare"))
-    rare = shared.materialise(rare.select("node", "mark"), "rare-marks", instead_of=(held, often))
+    rare = met.withColumn("turn", F.row_number().over(fall)).where(F.col("turn") > F.col("level.spare"))
+    rare = shared.materialise(rare.select("node", "mark"), "rare-marks", instead_of=tuple(slices))
     shares = rare.groupBy("mark").agg(F.min("node").alias("least"), F.max("node").alias("most")).where(F.col("least") < F.col("most"))
     edges = rare.join(shares.select("mark", "least").hint("shuffle_hash"), "mark").where(F.col("node") != F.col("least"))
     return shared.materialise(edges.select(F.col("node").alias("u"), F.col("least").alias("v")).distinct(), "coarse-edges", instead_of=(rare,))
