@@ -40,8 +40,11 @@ def jumps(links: DataFrame) -> list[DataFrame]:
 def reachable(commits: DataFrame, refs: DataFrame) -> DataFrame:
     """commit_hash of refs (commit_hash) and all their ancestors."""
     links = scratch.written(edges(commits), "edges")
-    up = jumps(links)
     new = refs.select("commit_hash").join(commits.select("commit_hash"), "commit_hash", "left_semi").distinct().select(F.col("commit_hash").alias("node"))
+    return _reached(links, jumps(links), new).select(F.col("node").alias("commit_hash"))
+
+
+def _reached(links: DataFrame, up: list[DataFrame], new: DataFrame) -> DataFrame:
     seen = None
     while True:
         line = new
@@ -54,20 +57,28 @@ def reachable(commits: DataFrame, refs: DataFrame) -> DataFrame:
             break
         seen = line if seen is None else seen.unionByName(line)
         new = links.where("nth > 0").join(line, "node", "left_semi").select(F.col("parent").alias("node")).distinct().join(seen, "node", "left_anti")
-    return (line if seen is None else seen).select(F.col("node").alias("commit_hash"))
+    return line if seen is None else seen
+
+
+def _own_times(commits: DataFrame) -> DataFrame:
+    return commits.where("commit_hash IS NOT NULL").groupBy("commit_hash").agg(F.coalesce(F.max("commit_time"), F.lit(0)).cast("long").alias("time"))
 
 
 def corrected_times(commits: DataFrame) -> DataFrame:
     """commit_hash and corrected time of all commits (commit_hash, parents, commit_time)."""
     links = scratch.written(edges(commits), "edges")
-    best = commits.where("commit_hash IS NOT NULL").groupBy("commit_hash").agg(F.coalesce(F.max("commit_time"), F.lit(0)).cast("long").alias("time"))
-    best = scratch.written(best.select(F.col("commit_hash").alias("node"), "time"), "times")
+    best = scratch.written(_own_times(commits).select(F.col("commit_hash").alias("node"), "time"), "times")
+    return _corrected(links, best)[0].select(F.col("node").alias("commit_hash"), "time")
+
+
+def _corrected(links: DataFrame, best: DataFrame) -> tuple[DataFrame, list[DataFrame] | None]:
+    """node and corrected time; and the jumps, if they were needed."""
     up = None
     while True:
         above = links.join(best.select(F.col("node").alias("parent"), F.col("time").alias("over")), "parent").groupBy("node").agg((F.max("over") + 1).alias("least"))
         late = scratch.written(best.join(above, "node").where("time < least").select("node", "least"), "late")
         if late.isEmpty():
-            return best.select(F.col("node").alias("commit_hash"), "time")
+            return best, up
         best = scratch.written(best.join(late, "node", "left").select("node", F.greatest("time", F.coalesce("least", "time")).alias("time")), "times")
         up = up or jumps(links)
         for k, jump in enumerate(up):
@@ -77,10 +88,17 @@ def corrected_times(commits: DataFrame) -> DataFrame:
 
 def walk(commits: DataFrame, refs: DataFrame | None = None, oldest_first: bool = True) -> DataFrame:
     """commit_hash and position (from 0) of what refs (commit_hash) reach, or of all commits."""
-    times = corrected_times(commits)
+    # rounds move numbers instead of hashes, which no shuffle compresses
+    own = scratch.written(_own_times(commits).withColumn("node", F.monotonically_increasing_id()), "numbered-commits")
+    named = own.select("node", "commit_hash")
+    child, parent = named.select(F.col("commit_hash").alias("from"), F.col("node").alias("a")), named.select(F.col("commit_hash").alias("to"), F.col("node").alias("b"))
+    links = edges(commits).withColumnsRenamed({"node": "from", "parent": "to"}).join(child, "from").join(parent, "to").select(F.col("a").alias("node"), "nth", F.col("b").alias("parent"))
+    links = scratch.written(links, "edges")
+    times, up = _corrected(links, own.select("node", "time"))
     if refs is not None:
-        times = times.join(reachable(commits, refs), "commit_hash", "left_semi")
-    times = scratch.written(times, "walk-times")
+        new = named.join(refs.select("commit_hash"), "commit_hash", "left_semi").select("node")
+        times = times.join(_reached(links, up or jumps(links), new), "node", "left_semi")
+    times = scratch.written(times.join(named, "node").select("commit_hash", "time"), "walk-times")
     keys = [F.col("time"), F.col("commit_hash")]
     rows = times.orderBy(*(keys if oldest_first else [k.desc() for k in keys])).select("commit_hash", F.monotonically_increasing_id().alias("at"))
     rows = scratch.written(rows.select("commit_hash", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND((1 << 33) - 1).alias("at")), "walk-order")
