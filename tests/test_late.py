@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from commitloom.functions import text
 from commitloom.operators import late
 from commitloom.plans import export, queries
 
@@ -56,3 +57,24 @@ def test_rows_without_a_source_have_no_texts(spark):
     table = late.Table(spark.sql("SELECT 1 AS k, 2 AS n, 'x2' AS t"), "k", ("k", "n"), ("t",), lambda r: r.withColumn("t", F.concat(F.lit("x"), F.coalesce(F.col("n").cast("string"), F.lit("?")))))
     rows = spark.sql("SELECT explode(array(1, 5)) AS k").join(table.carried("t"), "k", "left")
     assert {(r.k, r.t) for r in table.whole(rows, optional=True).collect()} == {(1, "x2"), (5, None)}
+
+
+def test_strip_takes_off_what_python_does(spark):
+    cases = [a + b + c for a in ("", " ", "　\n", "\x85") for b in ("", "a", "a b", "\xe9", "x€", "\U0001f600", "~!", "\x7f") for c in ("", *text.BLANKS, "\n  ")]
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate([*cases, None])], "i int, c string")
+    got = rows.select("i", text.strip(F.col("c")).alias("s"), text.rstrip(F.col("c")).alias("r"), text.some_text(F.lit("\n"), F.col("c")).alias("some")).orderBy("i").collect()
+    assert [(r.s, r.r, r.some) for r in got[:-1]] == [(c.strip(text.BLANKS), c.rstrip(text.BLANKS), bool(c.strip(text.BLANKS))) for c in cases]
+    assert got[-1].s is None and got[-1].r is None
+
+
+def test_long_stages_are_not_interpreted(spark):
+    """HotSpot compiles no method of more than 8000 bytes; such stages must run operator by operator."""
+    queries.QUERIES["hub_prep"](spark, DATA)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_diffs_are_made_once_to_be_measured(spark):
+    files = late.Table(spark.createDataFrame([(1, "x" * n, 0) for n in (49, 50, 51, 4999, 5000, 5001)] + [(1, None, 0)], "k int, diff_hunk string, is_binary int"), "k")
+    kept = export.window_of(files, 50, 5000).rows
+    assert sorted(len(r.diff_hunk) for r in kept.collect()) == [51, 4999]
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("octet_length") == 1
