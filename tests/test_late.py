@@ -78,3 +78,18 @@ def test_diffs_are_made_once_to_be_measured(spark):
     kept = export.window_of(files, 50, 5000).rows
     assert sorted(len(r.diff_hunk) for r in kept.collect()) == [51, 4999]
     assert kept._jdf.queryExecution().optimizedPlan().toString().count("octet_length") == 1
+
+
+def test_messages_are_lowered_once(spark):
+    """A condition on the score is copied into filters, where nothing is made only once unless it is bound."""
+    rows = spark.createDataFrame([("x", "Since MERGE branch 'a'", 1), ("fix Typo", "nothing", 1)], "subject string, body string, files_changed int")
+    for name in ("signed_off_by", "reviewed_by", "acked_by"):
+        rows = rows.withColumn(name, F.array().cast("array<string>"))
+    scored = queries.score.with_score(rows.withColumn("fixes_hash", F.lit(None).cast("string"))).where("heuristic_score >= 0")
+    plan = scored.select("subject")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(body") == 1 and plan.count("lower(subject") == 1
+    one, two = (r.heuristic_score for r in scored.collect())
+    weights = queries.config.WEIGHTS
+    assert one == weights["base"] + weights["has_rationale"] + weights["optimal_size"] and two == max(0, weights["base"] + weights["trivial_subject"] + weights["optimal_size"])
+    reason = queries.validate.invalid_reason(F.concat(F.lit("Some subject that is long enough\n"), F.col("body")), F.rpad(F.lit("a"), 200, "b"), F.rpad(F.lit("diff --git @@ -1 +1 @@"), 200, "+"), True)
+    assert rows.select(reason.alias("r")).first().r == "Merge commit detected: 'Merge branch'"
