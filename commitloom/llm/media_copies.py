@@ -6,14 +6,13 @@ of the bits each: one corner that keeps the bits of one table is enough. Those t
 that differ in at most ``MAX_BITS`` bits are matched, and the similarity transform (scale, turn, shift) through two matches that
 most others agree with must carry ``MIN_SHARED`` corners.
 
-No pair within a group is written and none is all compared: in every bucket of a table the members meet the least picture only.
-Those that prove its copies leave the bucket with it, whatever bucket brought them together; the others meet the least of what
-is left. A bucket in which more than ``ROUNDS`` unrelated groups meet shows a corner that is no mark of a picture (a logo, a
-frame). Copies that share any rarer corner have met already; those that share frequent ones alone must share ``MIN_SHARED`` of
-them, so they meet once more under the whole set of their frequent values, without a limit of rounds.
+Rounds gather the groups: in every bucket of a table the members meet the least picture only, those that prove its copies leave the
+bucket with it, and the others meet the least of what is left, for ``ROUNDS`` rounds. Then every two pictures that share a bucket but
+no group are verified, in pairs of blocks, so a frequent corner (a logo, a frame) and a copy of a copy lose no link: the components
+are those of all pairs that share a bucket and agree. Only pairs within a group are left out.
 
-So components are groups of copies; `n_verified` counts a picture's verified pairs, which for a group are those with its least
-members, not all. Edited copies may keep no table's bits: recall is measured in the tests and stated in the README.
+So `n_verified` counts a picture's verified pairs, which for a group are not all. Edited copies may keep no table's bits: recall is
+measured in the tests and stated in the README.
 
 Input: image_id long, width int, height int, pixels binary (one byte of luminance for each pixel, row by row); other columns
 are ignored. Null or empty pixels, pixels that don't fill width x height, and flat or tiny pictures have no corners: they link
@@ -25,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,8 @@ MAX_BITS, MIN_SHARED, NEAR = 40, 10, 4.0  # bits that may differ, corners that m
 HYPOTHESES = 48  # best matches through which transforms are laid; all matches vote
 SCALES = (0.4, 2.5)
 ROUNDS = 6
+AT_ONCE = 4  # tables whose values are shuffled at once
+BLOCK, SHIPPED = 256, 16_384  # pictures of a block, and rows with their corners that are shuffled at once
 PART = 256  # pairs of one picture that a task verifies with one copy of its corners
 _PAIRS = np.clip(np.random.default_rng(7).normal(0, RADIUS / 2.5, (BITS, 4)), -RADIUS / 1.5, RADIUS / 1.5)
 _CHOSEN = [np.random.default_rng(t).permutation(BITS)[:KEY_BITS] for t in range(TABLES)]
@@ -104,7 +106,9 @@ def agree(p: np.ndarray, p_words: np.ndarray, q: np.ndarray, q_words: np.ndarray
     """Enough corners of two pictures match and lie in one similarity transform."""
     if min(len(p), len(q)) < MIN_SHARED:
         return False
-    differ = np.bitwise_count(p_words[:, None, :] ^ q_words[None, :, :]).sum(2, dtype=np.int64)
+    differ = np.zeros((len(p), len(q)), np.uint16)
+    for word in range(p_words.shape[1]):  # a sum along so short an axis takes several times as long
+        differ += np.bitwise_count(p_words[:, word, None] ^ q_words[None, :, word])
     best = differ.argmin(1)
     least = differ[np.arange(len(p)), best]
     found = np.flatnonzero(least <= MAX_BITS)
@@ -166,15 +170,15 @@ def copies(images: DataFrame) -> DataFrame:
     return shared.materialise(done, "picture-groups", instead_of=(members, chosen, links, found))
 
 
-def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """key (of a descriptor's bits in one table, whose number is in the last four bits) and class_id, each once for a picture."""
+def _values(batches: Iterator[pa.RecordBatch], tables: range = range(TABLES)) -> Iterator[pa.RecordBatch]:
+    """key (of a descriptor's bits in one of `tables`, whose number is in the last four bits) and class_id, each once for a picture."""
     for batch in batches:
         keys, ids = [], []
         for key, raw in zip(batch.column("class_id").to_pylist(), batch.column("words").to_pylist(), strict=True):
             bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, BITS // 8), axis=1)
-            words = np.stack([np.ascontiguousarray(np.packbits(bits[:, c], axis=1)).view(np.uint64)[:, 0] for c in _CHOSEN])
+            words = np.stack([np.ascontiguousarray(np.packbits(bits[:, c], axis=1)).view(np.uint64)[:, 0] for c in (_CHOSEN[t] for t in tables)])
             words = (words ^ (words >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-            words = (words ^ (words >> np.uint64(32))) & ~np.uint64(15) | np.arange(TABLES, dtype=np.uint64)[:, None]
+            words = (words ^ (words >> np.uint64(32))) & ~np.uint64(15) | np.array(tables, np.uint64)[:, None]
             mine = np.unique(words).view(np.int64)
             keys.append(mine)
             ids.append(np.full(len(mine), key, np.int64))
@@ -183,46 +187,94 @@ def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links(chosen: DataFrame) -> DataFrame:
-    """u, v: pairs of classes that were verified to be copies."""
+    """u, v: pairs of classes that were verified to be copies. Classes that share a value and agree are linked or in one group."""
     spark = chosen.sparkSession
-    table = chosen.mapInArrow(_values, "key long, class_id long")
-    # A value of one picture alone brings nothing together.
-    left = _several(table)
+    # A value of one picture alone brings nothing together. Some tables at a time: their values are many, those of several pictures are few.
+    parts = []
+    for first in range(0, TABLES, AT_ONCE):
+        of = partial(_values, tables=range(first, min(TABLES, first + AT_ONCE)))
+        parts.append(_several(chosen.mapInArrow(of, "key long, class_id long")))
+    met = reduce(DataFrame.unionByName, parts)
     links = shared.materialise(spark.createDataFrame([], "u long, v long"), "picture-links")
     tested = shared.materialise(spark.createDataFrame([], "u long, v long"), "tested-pairs")
-    left, links, tested = _rounds(left, chosen, links, tested, ROUNDS)
-    # Frequent values: pictures that share these alone share MIN_SHARED of them at least.
-    sets = left.groupBy("class_id", F.col("key").bitwiseAND(15).alias("table")).agg(F.array_sort(F.collect_set("key")).alias("keys")).where(F.size("keys") >= MIN_SHARED)
-    again = _several(sets.select(F.xxhash64("keys").alias("key"), "class_id"))
-    shared.discard(left)
-    left, links, tested = _rounds(again, chosen, links, tested, None)
-    shared.discard(left, tested)
+    links, tested = _rounds(met, chosen, links, tested, ROUNDS)
+    shared.discard(tested)
+    found = _rest(met, chosen, links)
+    shared.discard(*parts)
+    return found
+
+
+def _rest(met: DataFrame, chosen: DataFrame, links: DataFrame) -> DataFrame:
+    """links and those of all pairs that share a value but are in different groups by `links`.
+
+    Classes are dealt to blocks of about BLOCK, and a task holds two blocks, whatever the number of members that a value has. Pairs of blocks
+    are dealt in slices, so that no more than SHIPPED rows with their corners are shuffled at once. The pairs grow with the square
+    of the classes that share values.
+    """
+    groups = graph.connected_components(links)
+    keys = met.groupBy("class_id").agg(F.collect_list("key").alias("keys"))
+    rows = chosen.join(keys, "class_id").join(groups.withColumnRenamed("node", "class_id"), "class_id", "left")
+    rows = shared.materialise(rows.select("class_id", F.coalesce("component", "class_id").alias("component"), "keys", "places", "words"), "rest", instead_of=(groups,))
+    n = rows.count()
+    blocks = -(-n // BLOCK)
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("class_id"), F.lit(max(1, blocks))).cast("int"))
+    slices = -(-n * blocks // SHIPPED)
+    for turn in range(slices):
+        other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other")
+        copied = dealt.select("*", other).select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        copied = copied.where(F.pmod(F.xxhash64("i", "j"), F.lit(slices)) == turn).repartition("i", "j").sortWithinPartitions("i", "j")
+        found = copied.select("i", "j", "block", "class_id", "component", "keys", "places", "words").mapInArrow(_blocks, "u long, v long")
+        links = shared.materialise(links.unionByName(found), "picture-links", instead_of=(links,))
+    shared.discard(rows)
     return links
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of two blocks (or within one) that share a value, are in different groups and agree."""
+    for (i, j), rows in shared.groups(batches, ["i", "j"]):
+        block, ids, group = (rows.column(c).to_pylist() for c in ("block", "class_id", "component"))
+        found = [(np.frombuffer(p, np.complex64), np.frombuffer(w, np.uint64).reshape(-1, BITS // 64)) for p, w in zip(rows.column("places").to_pylist(), rows.column("words").to_pylist(), strict=True)]
+        having, us, vs = {}, [], []
+        for b, keys in enumerate(rows.column("keys").to_pylist()):
+            met = set()
+            for key in keys:
+                others = having.setdefault(key, [])
+                met.update(others)
+                others.append(b)
+            for a in met:
+                if group[a] != group[b] and (i == j or block[a] != block[b]):
+                    u, v = sorted((a, b), key=ids.__getitem__)
+                    if agree(*found[u], *found[v]):
+                        us.append(ids[u])
+                        vs.append(ids[v])
+        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+
+
 def _several(table: DataFrame) -> DataFrame:
     """Rows of keys that several classes have."""
-    keys = table.groupBy("key").agg(F.min("class_id").alias("least"), F.max("class_id").alias("most")).where("least < most").select("key")
-    return shared.materialise(table.join(keys.hint("shuffle_hash"), "key"), "hamming-table")
+    dealt = table.repartition("key")  # one shuffle, which both sides read
+    keys = dealt.groupBy("key").agg(F.min("class_id").alias("least"), F.max("class_id").alias("most")).where("least < most").select("key")
+    return shared.materialise(dealt.join(keys.hint("shuffle_hash"), "key"), "hamming-table")
 
 
-def _rounds(left: DataFrame, chosen: DataFrame, links: DataFrame, tested: DataFrame, most: int | None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """left, links and tested after at most so many rounds in which every key's members meet the least of them."""
-    turn = 0
-    while (most is None or turn < most) and not left.isEmpty():
+def _rounds(met: DataFrame, chosen: DataFrame, links: DataFrame, tested: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """links and tested after at most so many rounds in which every key's members meet the least of them; met stays."""
+    left, turn = met, 0
+    while turn < most and not left.isEmpty():
         turn += 1
         hubs = left.groupBy("key").agg(F.min("class_id").alias("hub"))
-        met = shared.materialise(left.join(hubs.hint("shuffle_hash"), "key").where("class_id > hub"), "hamming-meetings")
-        pairs = met.select(F.col("hub").alias("u"), F.col("class_id").alias("v")).distinct()
+        meetings = shared.materialise(left.join(hubs.hint("shuffle_hash"), "key").where("class_id > hub"), "hamming-meetings", instead_of=(left,) if left is not met else ())
+        pairs = meetings.select(F.col("hub").alias("u"), F.col("class_id").alias("v")).distinct()
         new = shared.materialise(pairs.join(tested, ["u", "v"], "left_anti"), "new-pairs")
         agreed = _verified(new, chosen)
         links = shared.materialise(links.unionByName(agreed), "picture-links", instead_of=(links,))
         tested = shared.materialise(tested.unionByName(new), "tested-pairs", instead_of=(tested,))
         done = links.select(F.col("u").alias("hub"), F.col("v").alias("class_id"))
-        rest = _several(met.join(done, ["hub", "class_id"], "left_anti").select("key", "class_id"))
-        shared.discard(left, met, new)
-        left = rest
-    return left, links, tested
+        left = _several(meetings.join(done, ["hub", "class_id"], "left_anti").select("key", "class_id"))
+        shared.discard(meetings, new)
+    if left is not met:
+        shared.discard(left)
+    return links, tested
 
 
 def _verified(pairs: DataFrame, chosen: DataFrame) -> DataFrame:
