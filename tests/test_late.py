@@ -93,3 +93,11 @@ def test_messages_are_lowered_once(spark):
     assert one == weights["base"] + weights["has_rationale"] + weights["optimal_size"] and two == max(0, weights["base"] + weights["trivial_subject"] + weights["optimal_size"])
     reason = queries.validate.invalid_reason(F.concat(F.lit("Some subject that is long enough\n"), F.col("body")), F.rpad(F.lit("a"), 200, "b"), F.rpad(F.lit("diff --git @@ -1 +1 @@"), 200, "+"), True)
     assert rows.select(reason.alias("r")).first().r == "Merge commit detected: 'Merge branch'"
+
+
+@pytest.mark.parametrize("name", ["largest_diff", "first_file"])
+def test_nothing_is_sorted_before_the_shuffle(spark, name):
+    """A sort before it holds all file changes of a task, and spills them where there are many."""
+    plan = queries.QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    after, before = plan.split("Exchange hashpartitioning(k", 1)
+    assert "SortAggregate" in after and "Sort" not in before.replace("SortMergeJoin", "")
