@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import text
 from ..operators import clean, late, score, validate
+from ..sources import scratch
 from . import export, reply_ledger
 
 
@@ -49,9 +50,10 @@ def scoring_candidates(commits: export.Rows, files: export.Rows, min_heuristic:
     c = late.table(commits).where((F.col("heuristic_score") >= min_heuristic) & F.col("ai_quality_score").isNull())
     wanted = c.carried("subject", "body", "heuristic_score", early=("commit_hash",))
     if limit:
-        wanted = export.best(wanted, [-F.col("heuristic_score")], limit)
+        wanted = scratch.written(export.best(wanted, [-F.col("heuristic_score")], limit), "wanted")
     f = export.window_of(files, config.MIN_OUTPUT, config.MAX_OUTPUT).where(F.col("file_extension").isin(*config.CODE_EXTENSIONS))
-    return f.whole(c.whole(export.first_files(wanted, f, "code_before", "diff_hunk", how="left")), optional=True)
+    rows = scratch.written(export.first_files(wanted, f, "code_before", "diff_hunk", how="left", few=limit is not None), "unscored")  # read for those with a diff and those without
+    return f.whole(c.whole(export.with_places(rows, f, optional=True)), optional=True)
 
 
 def score_commits(commits: export.Rows, files: export.Rows, ask: Callable[[str], str], min_heuristic: float = 30, limit: int | None = None, ledger: str | None = None) -> DataFrame:
@@ -61,7 +63,7 @@ def score_commits(commits: export.Rows, files: export.Rows, ask: Callable[[str],
     """
     rows = scoring_candidates(commits, files, min_heuristic, limit)
     commits = late.table(commits).rows
-    context = clean.source_for(F.col("code_before"), F.col("diff_hunk"))
+    context = clean.source_for(F.col("code_before"), F.col("diff_hunk"), places=F.col("places"))
     prompted = rows.where(F.col("diff_hunk").isNotNull()).select("commit_hash", scoring_prompt(export.message(), F.col("diff_hunk"), context).alias("prompt"))
     value, reason = score.parse_reply(F.col("reply"))
     asked = call(prompted, ask) if ledger is None else reply_ledger.ask_all(prompted, ask, ledger)
