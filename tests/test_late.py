@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from commitloom.functions import text
-from commitloom.operators import context, late
+from commitloom.functions import diffs, text
+from commitloom.operators import context, late, validate
 from commitloom.plans import export, queries
 
 DATA = "/root/testdata/sf0.001"
@@ -133,3 +133,33 @@ def test_documents_are_read_once_for_scores_and_tags(spark):
     assert not [columns for columns in moved(rows.select("heuristic_score", "flags")) if "text" in columns]
     want = both(queries.views.view(spark, DATA, "commits"))
     assert sorted(map(str, rows.select(*want.columns).collect())) == sorted(map(str, want.collect())) and not rows.where("body_length <> length(body)").count()
+
+
+def test_messages_are_read_once_for_all_files_of_a_commit(spark):
+    plan = queries.QUERIES["entry_checks"](spark, DATA)._jdf.queryExecution().optimizedPlan()
+    joins = [n.children() for n in nodes(plan) if n.nodeName() == "Join"]
+    columns = [{o.apply(i).name() for c in range(children.size()) for o in [children.apply(c).output()] for i in range(o.size())} for children in joins]
+    assert any("instruction_length" in c and "l_linenumber" in c for c in columns) and not [c for c in columns if "l_linenumber" in c and c & {"_text", "text"}]
+
+
+def test_sampled_lines_are_made_once(spark):
+    lines = [*(f"-old {i % 3} " for i in range(7)), "+", "+++ b", "--- a", " kept", *("+ new" for _ in range(9))]
+    cases = [("old 1 new", "\n".join(lines)), ("", "\n".join(lines)), ("new", "+ new\n+x"), ("x", None), (None, "+x"), ("x", ""), ("x", "+")]
+    rows = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, code string, diff string").select("i", validate.sample_coverage(F.col("code"), F.col("diff")).alias("s"))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("split(diff") == 1
+
+    def want(code, diff):
+        first = [x[1:].strip() for x in diff.split("\n") if x[:1] in ("+", "-") and x[:3] not in ("+++", "---")][:10]
+        found = sum(x != "" and code is not None and x in code for x in first)
+        return found, found * 100.0 / len(first) if first else 0.0
+
+    got = {r.i: (r.s.found, r.s.percent) for r in rows.collect()}
+    assert got == {i: (None, 0.0) if d is None else want(c, d) for i, (c, d) in enumerate(cases)}
+
+
+def test_header_range(spark):
+    cases = ["", "@@", "@@@", "@@@@", "@@@@@", "a@@ b @@c", "é@@ é @@ @@", "x@@y", "@@ -1 +1 @@ f @@"]
+    plain = lambda d: d.split("@@")[1].strip(" ") if len(d.split("@@")) >= 3 else "unknown"
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate([*cases, None])], "i int, d string")
+    got = [r.r for r in rows.select("i", diffs.header_range(F.col("d")).alias("r")).orderBy("i").collect()]
+    assert got == [*map(plain, cases), "unknown"]
