@@ -39,7 +39,8 @@ from . import graph, shared
 
 BLOCK_SETS = 1024
 BLOCK_TOKENS = 4_000_000
-SLICES = 4
+SLICES = 8
+SLICED = [f"marks_{k}" for k in range(SLICES)]
 HELD = 400_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -226,7 +227,7 @@ def _ends(lists: list) -> pa.Array:
 
 
 def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, size and two sums that stand for the set, and its signatures."""
+    """doc_id, size and two sums that stand for the set, and its signatures: column marks_k holds, by level, the marks of slice k."""
     if percent <= 50:
         raise ValueError("sets that differ in more than they share can't be routed: percent must be over 50")
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -239,14 +240,20 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 sums = [[int(_mixed(s, salt).sum().view(np.int64)) if len(s) else 0 for s in sets] for salt in (1, 2)]
                 found = [signatures(s, percent) for s in sets]
                 levels = [m for marks, _ in found for m in marks]
-                flat = pa.array(np.concatenate(levels) if levels else np.zeros(0, np.int64), pa.int64())
-                by_level = pa.ListArray.from_arrays(_ends(levels), flat)
-                marks = pa.ListArray.from_arrays(_ends([marks for marks, _ in found]), by_level)
+                flat = np.concatenate(levels) if levels else np.zeros(0, np.int64)
+                level, part, ends = np.repeat(np.arange(len(levels)), [len(m) for m in levels]), flat % SLICES, _ends([marks for marks, _ in found])
+                marks = []
+                for k in range(SLICES):
+                    here = part == k
+                    counts = np.concatenate(([0], np.bincount(level[here], minlength=len(levels))))
+                    by_level = pa.ListArray.from_arrays(pa.array(np.cumsum(counts), pa.int32()), pa.array(flat[here], pa.int64()))
+                    marks.append(pa.ListArray.from_arrays(ends, by_level))
                 spares = pa.array([spares for _, spares in found], pa.list_(pa.int32()))
-                columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(s, pa.int64()) for s in sums), marks, spares]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "h1", "h2", "marks", "spares"])
+                columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(s, pa.int64()) for s in sums), spares, *marks]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "h1", "h2", "spares", *SLICED])
 
-    return rows.mapInArrow(made, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles long, h1 long, h2 long, marks array<array<long>>, spares array<int>")
+    of_slices = ", ".join(f"{c} array<array<long>>" for c in SLICED)
+    return rows.mapInArrow(made, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles long, h1 long, h2 long, spares array<int>, {of_slices}")
 
 
 def _joined(docs: DataFrame, blocks: DataFrame, n: int, percent: int) -> DataFrame:
@@ -305,7 +312,7 @@ def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of docs."""
     wide = shared.materialise(shingle_sets(docs, n, percent), "shingles")
     same = ["n_shingles", "h1", "h2"]
-    sets = shared.materialise(wide.drop("marks", "spares"), "shingle-sums")
+    sets = shared.materialise(wide.drop("spares", *SLICED), "shingle-sums")
     classes = shared.materialise(sets.where("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("node")).where("node IS NOT NULL"), "shingle-classes")
     coarse = graph.connected_components(_shared_marks(wide, classes))
     labels = _labels(docs, classes, coarse, n, percent)
@@ -319,22 +326,21 @@ def similar_groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
 def _shared_marks(wide: DataFrame, classes: DataFrame) -> DataFrame:
     """u, v: classes that share one of their rarest marks with the least class that has it. Deletes `wide`.
 
-    Marks leave their arrays twice, to be counted and to be met by the counts of those that more sets than one have: one slice of all
-    marks after the other, since the shuffles of one are gone before the next one's, and only marks that sets share are kept.
+    Marks are random numbers and several times the texts, so all of them are on disk once only. One slice after the other is met with the
+    classes, to leave copies out, and leaves its arrays twice, to be counted and to be met by the counts of those that more sets than one
+    have. The files of one slice are gone before the next one's, and only marks that sets share are kept.
     """
     same = (wide["doc_id"] == classes["node"]) & (wide["h1"] == classes["h1"]) & (wide["h2"] == classes["h2"])
-    held = wide.join(classes, same, "left_semi").select(F.col("doc_id").alias("node"), "spares", "marks")
-    held = shared.materialise(held, "class-marks", instead_of=(wide,))
-    # A mark of one set alone brings nothing together, and comes first in the order.
-    every = held.select(F.explode(F.flatten("marks")).alias("mark"))
-    marks = held.select("node", "spares", F.posexplode("marks").alias("level", "found"))
-    marks = marks.select("node", F.struct("level", F.get("spares", "level").alias("spare")).alias("level"), F.explode("found").alias("mark"))
     slices = []
-    for k in range(SLICES):
-        here = F.pmod("mark", F.lit(SLICES)) == k
-        often = shared.materialise(every.where(here).groupBy("mark").agg(F.count("*").alias("sets")).where(F.col("sets") > 1), "frequent-marks")
-        slices.append(shared.materialise(marks.where(here).join(often.hint("shuffle_hash"), "mark"), "met-marks", instead_of=(often,)))
-    shared.discard(held)
+    for c in SLICED:
+        held = shared.materialise(wide.join(classes, same, "left_semi").select(F.col("doc_id").alias("node"), "spares", F.col(c).alias("marks")), "class-marks")
+        # A mark of one set alone brings nothing together, and comes first in the order.
+        often = held.select(F.explode(F.flatten("marks")).alias("mark")).groupBy("mark").agg(F.count("*").alias("sets")).where(F.col("sets") > 1)
+        often = shared.materialise(often, "frequent-marks")
+        marks = held.select("node", "spares", F.posexplode("marks").alias("level", "found"))
+        marks = marks.select("node", F.struct("level", F.get("spares", "level").alias("spare")).alias("level"), F.explode("found").alias("mark"))
+        slices.append(shared.materialise(marks.join(often.hint("shuffle_hash"), "mark"), "met-marks", instead_of=(often, held)))
+    shared.discard(wide)
     met = reduce(DataFrame.unionByName, slices)
     fall = Window.partitionBy("node", "level").orderBy(F.desc("sets"), F.desc("mark"))
     rare = met.withColumn("turn", F.row_number().over(fall)).where(F.col("turn") > F.col("level.spare"))
