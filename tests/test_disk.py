@@ -2,7 +2,6 @@
 
 from pathlib import Path
 
-import pytest
 from pyspark.sql import functions as F
 
 from commitloom.operators import patience
@@ -55,3 +54,23 @@ def test_deltas_texts_are_not_moved_with_changes(spark):
     assert not [columns for columns in joined(df) if {n for n, _ in columns} >= {"commit_hash", "hunks"} or {n for n, _ in columns} >= {"commit_hash", "old_text"}]
     got = {(r.old_path, r.new_path): (r.is_binary, r.patch is None, r.code_before, r.code_after) for r in df.collect()}
     assert got == {("f", "f"): (False, False, "1\n", "2\n"), (None, "g"): (False, False, "", "1\n"), ("h", None): (True, True, None, None), ("i", "j"): (False, False, "1\n", "1\n"), ("x", "x"): (True, True, None, None), ("y", "y"): (False, True, "", "2\n")}
+
+
+def test_file_changes_meet_documents_where_they_met_commits(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = queries.QUERIES["clean_texts"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [line for line in plan.split("\n") if "Exchange hashpartitioning(_at" in line]
+    assert dealt and all("REPARTITION_BY_COL" in line for line in dealt)
+
+
+def test_messages_are_judged_once_for_all_files_of_a_commit(spark):
+    seen = [{n for n, _ in columns} for columns in joined(queries.QUERIES["validation_summary"](spark, DATA))]
+    assert any("told" in c for c in seen) and not [c for c in seen if "l_linenumber" in c and c & {"subject", "_text", "text"}]
+    cleaned = queries.QUERIES["clean_texts"](spark, DATA)
+    want = cleaned.agg(F.count("*"), F.count_if(F.col("reason").isNull()), F.count_if(F.col("reason").isNotNull())).first()
+    assert tuple(queries.QUERIES["validation_summary"](spark, DATA).first()) == tuple(want)
